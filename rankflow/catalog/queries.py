@@ -16,10 +16,11 @@ from rankflow.functions.columns import suffix_columns, with_default
 from rankflow.functions.metrics import average_precision
 from rankflow.functions.titles import family_size as family_size_column
 from rankflow.functions.titles import regex_lookup
-from rankflow.operators.aggregates import impute_joint_mean, joint_means, last_write_wins, ordered_list
+from rankflow.operators.aggregates import impute_joint_mean, joint_means, last_write_wins
 from rankflow.operators.cascade import (
     fill_remainder,
     match_rule,
+    match_rules,
     ordered_lists as lists_of,
     rank_step,
     union_rerank as rerank,
@@ -49,7 +50,7 @@ from rankflow.sources.readers import (
 )
 from rankflow.sources.schemas import append_field, prepend_field, without_fields
 from rankflow.sources.sinks import head_sample as stored_head, write_csv, write_parquet
-from rankflow.sources.workspace import new_folder
+from rankflow.sources.workspace import ensure_checkpoint_dir, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,12 +66,14 @@ def _register(query: Query) -> Query:
 
 @_register
 def weighted_popularity(spark, sf_dir):
-    return popularity(roles.lines_with_items(spark, sf_dir), ITEM, roles.popular_weight())
+    weights = roles.item_weights(spark, sf_dir, roles.popular_weight())
+    return popularity(weights, ITEM, F.col("weight"))
 
 
 @_register
 def global_top5(spark, sf_dir):
-    return popular_items(roles.lines_with_items(spark, sf_dir), ITEM, roles.popular_weight())
+    weights = roles.item_weights(spark, sf_dir, roles.popular_weight())
+    return popular_items(weights, ITEM, F.col("weight"))
 
 
 @_register
@@ -105,7 +108,16 @@ def _rule_hits(spark, sf_dir, number):
 
 
 def _all_hits(spark, sf_dir):
-    return [_rule_hits(spark, sf_dir, n) for n in (1, 2, 3)]
+    """Matches of all rules from one scan of the training rows."""
+    ranked = candidates_of_rules(roles.training(spark, sf_dir), roles.rules(), ITEM)
+    hits = match_rules(roles.requests(spark, sf_dir), ranked, roles.rules(), ID, ITEM)
+    return hits.where(F.col("rn").isNotNull())
+
+
+def _stored_hits(spark, sf_dir):
+    """The matches as a checkpoint, for steps that read them twice."""
+    ensure_checkpoint_dir(spark)
+    return _all_hits(spark, sf_dir).checkpoint()
 
 
 def _top_items(spark, sf_dir):
@@ -113,13 +125,13 @@ def _top_items(spark, sf_dir):
 
 
 def _remainder(spark, sf_dir, hits):
-    ids = ids_without(roles.requests(spark, sf_dir), ID, *hits)
+    ids = ids_without(roles.requests(spark, sf_dir), ID, hits)
     return fill_remainder(ids, ID, ITEM, _top_items(spark, sf_dir))
 
 
 def _reranked(spark, sf_dir):
-    hits = _all_hits(spark, sf_dir)
-    return rerank([*hits, _remainder(spark, sf_dir, hits)], ID, ITEM)
+    hits = _stored_hits(spark, sf_dir)
+    return rerank([hits, _remainder(spark, sf_dir, hits)], ID, ITEM)
 
 
 @_register
@@ -139,7 +151,7 @@ def join_rule3(spark, sf_dir):
 
 @_register
 def unmatched_ids(spark, sf_dir):
-    return ids_without(roles.requests(spark, sf_dir), ID, *_all_hits(spark, sf_dir))
+    return ids_without(roles.requests(spark, sf_dir), ID, _all_hits(spark, sf_dir))
 
 
 @_register
@@ -293,17 +305,22 @@ def label_cast(spark, sf_dir):
 
 
 def _user_lists(spark, sf_dir):
-    """Per customer: the items ranked by count, then again by weight; and the items bought later."""
+    """Per customer: the items ranked by count, then again by weight; and the items bought later.
+
+    Lists hold ``k`` items per ranking, or the distinct items of a customer.
+    """
     lines = roles.interactions(spark, sf_dir)
     early, late = lines.where(roles.before_split()), lines.where(~roles.before_split())
-    both = []
-    for name, weight in (("by_count", None), ("by_weight", roles.popular_weight())):
-        ranked = candidates(early, roles.Rule(("user",), weight), ITEM, rank_col="rn")
-        both.append(ordered_list(ranked, "user", "rn", ITEM).withColumnRenamed(ITEM, name))
-    predicted = both[0].join(both[1], "user")
+    rankings = [roles.Rule(("user",)), roles.Rule(("user",), roles.popular_weight())]
+    ranked = candidates_of_rules(early, rankings, ITEM)
+    places = F.array_sort(F.collect_list(F.struct("rule", "rn", ITEM))).alias("places")
+    predicted = ranked.groupBy("user").agg(places).select(
+        "user",
+        F.transform("places", lambda p: p[ITEM]).alias("predicted"),
+        F.transform(F.filter("places", lambda p: p["rule"] == 1), lambda p: p[ITEM]).alias("by_count"),
+    )
     actual = late.groupBy("user").agg(F.array_sort(F.collect_set(ITEM)).alias("actual"))
-    joined = predicted.join(actual, "user", "full")
-    return joined.withColumn("predicted", F.concat("by_count", "by_weight"))
+    return predicted.join(actual, "user", "full")
 
 
 @_register

@@ -168,7 +168,7 @@ UNION ALL SELECT 3, 0, 0, dest, '', '', item, score, rn FROM rule3
     "join_rule3": f"{_CASCADE} SELECT * FROM hits3",
     "unmatched_ids": f"{_CASCADE} SELECT * FROM unmatched",
     "remainder_fill": f"{_CASCADE} SELECT * FROM remainder",
-    "union_rerank": f"{_CASCADE} SELECT * FROM reranked",
+    "union_rerank": f"{_CASCADE} SELECT id, item, CAST(rn AS BIGINT) AS rn, rn_all FROM reranked",
     "ordered_lists": f"{_CASCADE} SELECT id, array_to_string(items, ' ') AS items FROM lists ORDER BY id",
     "cascade_recommend": f"{_CASCADE} SELECT id, array_to_string(items, ' ') AS items FROM lists",
     "cascade_distinct": _DISTINCT_LISTS,

@@ -1,6 +1,6 @@
 """DataFrame-to-DataFrame operators."""
 
-from rankflow.operators.aggregates import impute_joint_mean, joint_means, last_write_wins, ordered_list
+from rankflow.operators.aggregates import impute_joint_mean, joint_means, last_write_wins
 from rankflow.operators.cascade import (
     fill_remainder,
     match_rule,
@@ -9,6 +9,7 @@ from rankflow.operators.cascade import (
     union_rerank,
     unmatched_ids,
 )
+from rankflow.operators.joins import join_ranked
 from rankflow.operators.ordering import category_index, rank_sum_auc, running_total
 from rankflow.operators.pairs import clean_item_info, enrich_pairs
 from rankflow.operators.topk import (
@@ -29,11 +30,11 @@ __all__ = [
     "enrich_pairs",
     "fill_remainder",
     "impute_joint_mean",
+    "join_ranked",
     "joint_means",
     "last_write_wins",
     "match_rule",
     "match_rules",
-    "ordered_list",
     "ordered_lists",
     "popular_items",
     "popular_list",

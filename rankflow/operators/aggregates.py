@@ -1,4 +1,4 @@
-"""Joint means, last value per key, ordered lists."""
+"""Joint means and the last value per key."""
 
 from __future__ import annotations
 
@@ -34,8 +34,3 @@ def last_write_wins(df: DataFrame, key: str, values: Sequence[str], seq: Column
     last = F.max_by(F.struct(*values), seq).alias("_last")
     return df.groupBy(key).agg(last).select(key, *[F.col("_last")[v].alias(v) for v in values])
 
-
-def ordered_list(df: DataFrame, key: str, order: str, item: str) -> DataFrame:
-    """Items per key as an array in the given order. For groups of bounded size only."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(item))))
-    return df.groupBy(key).agg(F.transform(pairs, lambda p: p[item]).alias(item))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.joins import join_ranked
 from rankflow.operators.topk import Rule, key_types, keys_present, rule_keys, top_k_per_group
 
 # Fixed value: rank of the items given to a request that no rule matched.
@@ -22,23 +23,6 @@ def rank_step(k: int) -> int:
     return 10 ** len(str(k))
 
 
-def join_ranked(left: DataFrame, ranked: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join to a table that was just ranked by the same keys, with hot keys of ``left`` split.
-
-    At run time Spark splits a hot key only where both inputs are shuffled for the join. A
-    ranked table is already partitioned by its keys and would not be; a hash of the keys as a
-    further join column makes it so. The ranked side is the small one.
-    """
-    differing = [c for c in keys if left.schema[c].dataType != ranked.schema[c].dataType]
-    if differing:
-        raise ValueError(f"join columns must have the same type on both sides: {differing}")
-    mark = F.xxhash64(*keys)
-    joined = left.withColumn("_mark", mark).join(
-        ranked.withColumn("_mark", mark), ["_mark", *keys], how
-    )
-    return joined.drop("_mark")
-
-
 def match_rule(
     requests: DataFrame,
     table: DataFrame,

@@ -33,8 +33,11 @@ def top_k_per_group(
 
     The comparison sits directly on ``row_number`` so that Spark trims every group to ``k``
     rows per task before the shuffle; a group holding most of the table never travels whole.
+    Several keys are led by their hash: sorting compares the first column before all others,
+    and the hash alone tells almost every pair of groups apart.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
+    groups = [F.xxhash64(*keys), *keys] if len(keys) > 1 else keys
+    position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
     return df.withColumn(rank_col, position).where(F.col(rank_col) <= k)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.arrays import distinct_items, parse_int_list
 from rankflow.functions.metrics import average_precision
 from rankflow.operators.aggregates import last_write_wins
+from rankflow.operators.joins import join_ranked
 from rankflow.sources.readers import read_list_file
 
 
@@ -26,7 +27,7 @@ def map_at_k(
     """
     truth = actual.select(id_col, actual_col)
     ap = average_precision(F.col(predicted_col), F.array(actual_col), k, empty_value=1.0)
-    scored = predictions.select(id_col, predicted_col).join(truth, id_col, "inner")
+    scored = join_ranked(truth, predictions.select(id_col, predicted_col), [id_col], "inner")
     total = scored.agg(F.sum(ap).alias("total"))
     size = predictions.agg(F.count(F.lit(1)).alias("n")).scalar()
     return total.select(F.coalesce(F.try_divide("total", size), F.lit(0.0)).alias("map"))
@@ -40,7 +41,7 @@ def mean_average_precision(
     Repeated predictions count once. ``actual`` holds one list per id.
     """
     truth = actual.select(id_col, actual_col)
-    joined = predictions.select(id_col, predicted_col).join(truth, id_col, "left")
+    joined = join_ranked(predictions.select(id_col, predicted_col), truth, [id_col], "left")
     ap = average_precision(F.col(predicted_col), F.col(actual_col), dedupe=True)
     return joined.agg(F.coalesce(F.avg(ap), F.lit(0.0)).alias("map"))
 

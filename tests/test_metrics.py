@@ -1,0 +1,129 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankflow.functions import (
+    average_precision,
+    distinct_items,
+    first_items,
+    join_items,
+    pad_items,
+    parse_int_list,
+)
+from rankflow.plans import map_at_k, mean_average_precision, score_list_files
+
+SCHEMA = "id int, predicted array<int>, actual array<int>"
+
+
+def score(spark, predicted, actual, **options):
+    df = spark.createDataFrame([(1, predicted, actual)], SCHEMA)
+    return df.select(average_precision(F.col("predicted"), F.col("actual"), **options)).first()[0]
+
+
+def test_worked_examples(spark):
+    assert score(spark, [1, 2, 3], [1, 3, 9]) == pytest.approx((1 + 2 / 3) / 3)
+    assert score(spark, [1, 2], [1, 2, 3]) == pytest.approx(2 / 3)
+
+
+def test_empty_sides(spark):
+    assert score(spark, [], [1]) == 0
+    assert score(spark, [1], [], k=5, empty_value=1.0) == 1
+    assert score(spark, [1], [], empty_value=0.0) == 0
+    assert score(spark, None, [1]) == 0
+    assert score(spark, [1], None, empty_value=1.0) == 1
+
+
+def test_repeats_count_again_unless_removed(spark):
+    assert score(spark, [1, 1], [1], k=2) == 2
+    assert score(spark, [1, 1], [1], k=2, dedupe=True) == 1
+    assert score(spark, [2, 2, 1], [1], dedupe=True) == 0.5
+
+
+def test_divisor_is_capped_by_k(spark):
+    assert score(spark, [1], [1, 2, 3], k=2) == 0.5
+
+
+def brute_force(predicted, actual, k, dedupe, empty_value):
+    if dedupe:
+        predicted = list(dict.fromkeys(predicted))
+        actual = list(dict.fromkeys(actual))
+    if not actual:
+        return empty_value
+    if k:
+        predicted = predicted[:k]
+    found = [p in actual for p in predicted]
+    gains = [sum(found[: i + 1]) / (i + 1) for i, hit in enumerate(found) if hit]
+    return sum(gains) / (min(len(actual), k) if k else len(actual))
+
+
+@pytest.mark.parametrize("k", [None, 1, 5])
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_against_brute_force(spark, k, dedupe):
+    rng = random.Random(7)
+    pick = lambda: [rng.randrange(8) for _ in range(rng.randrange(9))]
+    rows = [(i, pick(), pick()) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ap = average_precision(F.col("predicted"), F.col("actual"), k, 0.25, dedupe)
+    for (_, predicted, actual), row in zip(rows, df.select("id", ap.alias("ap")).orderBy("id").collect()):
+        assert row.ap == pytest.approx(brute_force(predicted, actual, k, dedupe, 0.25))
+        if dedupe:
+            assert 0 <= row.ap <= 1
+
+
+def test_list_helpers(spark):
+    df = spark.createDataFrame([("15 25 9 15", [1, 2])], "text string, items array<int>")
+    parsed = parse_int_list("text")
+    row = df.select(
+        parsed.alias("parsed"),
+        distinct_items(parsed).alias("distinct"),
+        first_items(parsed, 2).alias("first"),
+        pad_items("items", F.array(F.lit(2), F.lit(7), F.lit(8)), 4).alias("padded"),
+        join_items("items").alias("joined"),
+    ).first()
+    assert row.parsed == [15, 25, 9, 15]
+    assert row.distinct == [15, 25, 9]
+    assert row.first == [15, 25]
+    assert row.padded == [1, 2, 2, 7]
+    assert row.joined == "1 2"
+
+
+def test_bad_tokens(spark):
+    df = spark.createDataFrame([("1 x  2",)], "text string")
+    assert df.select(parse_int_list("text")).first()[0] == [1, 2]
+    with pytest.raises(Exception):
+        df.select(parse_int_list("text", strict=True)).collect()
+
+
+def test_map_at_k_counts_unmatched_predictions(spark):
+    predictions = spark.createDataFrame([(1, [7, 8]), (2, [9]), (3, [7])], "id int, items array<int>")
+    actual = spark.createDataFrame([(1, 8), (2, 9), (9, 1)], "id int, item int")
+    assert map_at_k(predictions, actual, "id", "items", "item").first()["map"] == pytest.approx(1.5 / 3)
+    none = predictions.where("false")
+    assert map_at_k(none, actual, "id", "items", "item").first()["map"] == 0
+    assert map_at_k(predictions, actual.where("false"), "id", "items", "item").first()["map"] == 0
+
+
+def test_mean_average_precision_without_predictions(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    result = mean_average_precision(df, df, "id", "predicted", "actual")
+    assert result.first()["map"] == 0
+
+
+def test_score_list_files(spark, tmp_path):
+    (tmp_path / "predicted.csv").write_text("23,15 25 25 9 50\n4,1 2\n5,3\n")
+    # The later line of 23 replaces the earlier one; 5 has no truth.
+    (tmp_path / "actual.csv").write_text("23,1 2 3\n4,2\n23,25 50\n")
+    result = score_list_files(spark, str(tmp_path / "predicted.csv"), str(tmp_path / "actual.csv"))
+    first = (1 / 2 + 2 / 4) / 2
+    assert result.first()["map"] == pytest.approx((first + 1 / 2 + 0) / 3)
+
+
+def test_truth_order_holds_across_splits(spark, conf, tmp_path):
+    """Each id is written many times; the last line must win wherever the file is cut."""
+    lines = [f"{i % 50},{i}" for i in range(20000)]
+    (tmp_path / "actual.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "predicted.csv").write_text("".join(f"{i},{19950 + i}\n" for i in range(50)))
+    conf("spark.sql.files.maxPartitionBytes", "10000")
+    result = score_list_files(spark, str(tmp_path / "predicted.csv"), str(tmp_path / "actual.csv"))
+    assert result.first()["map"] == 1.0
