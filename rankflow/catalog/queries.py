@@ -39,7 +39,7 @@ from rankflow.plans.classifier import FeatureSpec, classify
 from rankflow.plans.duplicates import pair_features
 from rankflow.plans.evaluation import map_at_k, score_list_files
 from rankflow.plans.recommender import recommend
-from rankflow.sources.audit import audit_rows
+from rankflow.sources.audit import audit_csv
 from rankflow.sources.readers import (
     read_by_name,
     read_declared,
@@ -504,12 +504,23 @@ def parquet_roundtrip(spark, sf_dir):
 
 @_register
 def row_audit(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("string").alias("order_date"),
-        F.regexp_extract("o_orderpriority", "^[123]-(.*)$", 1).alias("priority"),
-        F.expr("substring(o_orderpriority, 1, instr(o_orderpriority, ' '))").alias("number"),
-        F.col("o_orderstatus").alias("status"),
+    """Orders as unquoted text: some priorities hold a comma, some codes are missing."""
+    orders = table(spark, sf_dir, "orders")
+    path = new_folder(spark, "audit")
+    line = F.concat_ws(
+        ",",
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.regexp_extract("o_orderpriority", "^[123]-(.*)$", 1),
+        "o_orderstatus",
+        F.translate("o_orderpriority", " ", ","),
     )
-    return audit_rows(
-        orders, ["order_date", "priority"], {"order_date": "timestamp", "number": "int", "status": "int"}
+    orders.select(line).write.text(path)
+    schema = T.StructType(
+        [
+            T.StructField("day", T.DateType(), False),
+            T.StructField("code", T.StringType(), False),
+            T.StructField("status", T.IntegerType()),
+            T.StructField("priority", T.StringType()),
+        ]
     )
+    return audit_csv(spark, path, schema, header=False)

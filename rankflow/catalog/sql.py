@@ -321,13 +321,13 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal,
     "csv_quoted": "SELECT * FROM documents",
     "parquet_roundtrip": "SELECT * FROM lineitem",
     "row_audit": """
-SELECT 'order_date' AS "column", CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unparseable
+SELECT 'day' AS "column", CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unparseable
 UNION ALL
-SELECT 'priority', count(*) FILTER (WHERE substr(o_orderpriority, 1, 2) NOT IN ('1-', '2-', '3-')), 0
+SELECT 'code', count(*) FILTER (WHERE substr(o_orderpriority, 1, 2) NOT IN ('1-', '2-', '3-')), 0
 FROM orders
 UNION ALL
-SELECT 'number', 0, count(*) FILTER (WHERE o_orderpriority LIKE '% %') FROM orders
+SELECT 'status', 0, count(*) FROM orders
 UNION ALL
-SELECT 'status', 0, count(*) FILTER (WHERE o_orderstatus <> '') FROM orders
+SELECT '_malformed', 0, count(*) FILTER (WHERE o_orderpriority LIKE '% %') FROM orders
 """,
 }

@@ -184,8 +184,15 @@ def classify_passengers(
     return scored.select("PassengerId", F.col("predictedLabel").alias("Survived"))
 
 
-def submit_passengers(spark: SparkSession, train_path: str, test_path: str, out: str) -> None:
+def submit_passengers(
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    out: str,
+    grid: Mapping[str, Sequence] = DEFAULT_GRID,
+    folds: int = DEFAULT_FOLDS,
+) -> None:
     """CSV files in, CSV files out."""
     train = read_by_name(spark, train_path, PASSENGER_SCHEMA)
     test = read_by_name(spark, test_path, without_fields(PASSENGER_SCHEMA, ["Survived"]))
-    write_csv(classify_passengers(train, test), out)
+    write_csv(classify_passengers(train, test, grid, folds), out)

@@ -1,6 +1,6 @@
 """Readers, writers and checks of stored tables."""
 
-from rankflow.sources.audit import audit_rows
+from rankflow.sources.audit import audit_csv, audit_rows
 from rankflow.sources.readers import (
     read_by_name,
     read_declared,
@@ -26,6 +26,7 @@ __all__ = [
     "ITEM_INFO_TEXTS",
     "PASSENGER_SCHEMA",
     "append_field",
+    "audit_csv",
     "audit_rows",
     "ensure_checkpoint_dir",
     "head_sample",

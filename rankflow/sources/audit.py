@@ -4,18 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MALFORMED = "_malformed"
+
+
+def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """``audit_rows`` of a file against its declared schema, before any value is converted.
+
+    Fields that must not be null are required, and all but strings must parse. The row
+    ``_malformed`` counts the records with too few or too many fields as unparseable. Columns
+    are found by name in the header, or stand in the order of the schema without one.
+    """
+    names = spark.read.csv(path, header=True).columns if header else schema.fieldNames()
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    # Whole records must be split to be counted, also where no column of theirs is audited.
+    reader = spark.read.schema(text).option("columnPruning", False)
+    raw = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED)
+    known = [f for f in schema.fields if f.name in names]
+    return audit_rows(
+        raw,
+        [f.name for f in known if not f.nullable],
+        {f.name: f.dataType.simpleString() for f in known if not isinstance(f.dataType, T.StringType)},
+        malformed=MALFORMED,
+    )
 
 
 def audit_rows(
-    df: DataFrame, required: Sequence[str] = (), parse: Mapping[str, str] | None = None
+    df: DataFrame,
+    required: Sequence[str] = (),
+    parse: Mapping[str, str] | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """One row per audited column: ``column, missing, unparseable``.
 
     ``required`` columns count null and empty values as missing. ``parse`` maps a text column
-    to the type it should hold and counts values that do not convert. For malformed records,
-    read with ``columnNameOfCorruptRecord`` and audit that column's presence.
+    to the type it should hold and counts values that do not convert. ``malformed`` names the
+    column that holds the text of a record only where the record did not fit.
     """
     parse = parse or {}
     names = list(dict.fromkeys([*required, *parse]))
@@ -34,4 +61,13 @@ def audit_rows(
                 F.col(f"b{i}").alias("unparseable"),
             )
         )
+    if malformed is not None:
+        counts.append(F.count(malformed).alias("malformed"))
+        rows.append(
+            F.struct(
+                F.lit(malformed).alias("column"),
+                F.lit(0).cast("bigint").alias("missing"),
+                F.col("malformed").alias("unparseable"),
+            )
+        )
     return df.agg(*counts).select(F.inline(F.array(*rows)))

@@ -52,7 +52,10 @@ def read_quoted(
     Needs ``multiline`` when a quoted field holds line breaks. Spark then reads each file in
     one task, so such data should come as many files.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    # Without this, records are checked against the columns a query happens to select.
+    reader = spark.read.option("columnPruning", False)
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.csv(
         path,
         header=True,
