@@ -102,15 +102,16 @@ def rule_candidates(spark, sf_dir):
 
 def _rule_hits(spark, sf_dir, number):
     rule = roles.rules()[number - 1]
-    ranked = candidates(roles.training(spark, sf_dir), rule, ITEM)
+    train, requests = roles.training_and_requests(spark, sf_dir)
     factor = rank_step(5) ** (number - 1)
-    return match_rule(roles.requests(spark, sf_dir), ranked, rule.keys, ID, ITEM, factor)
+    return match_rule(requests, candidates(train, rule, ITEM), rule.keys, ID, ITEM, factor)
 
 
 def _all_hits(spark, sf_dir):
     """Matches of all rules from one scan of the training rows."""
-    ranked = candidates_of_rules(roles.training(spark, sf_dir), roles.rules(), ITEM)
-    hits = match_rules(roles.requests(spark, sf_dir), ranked, roles.rules(), ID, ITEM)
+    train, requests = roles.training_and_requests(spark, sf_dir)
+    ranked = candidates_of_rules(train, roles.rules(), ITEM)
+    hits = match_rules(requests, ranked, roles.rules(), ID, ITEM)
     return hits.where(F.col("rn").isNotNull())
 
 
@@ -172,15 +173,9 @@ def ordered_lists(spark, sf_dir):
 
 
 def _recommended(spark, sf_dir, dedupe=False):
-    return recommend(
-        roles.training(spark, sf_dir),
-        roles.requests(spark, sf_dir),
-        roles.rules(),
-        roles.popular_weight(),
-        id_col=ID,
-        item=ITEM,
-        dedupe=dedupe,
-    )
+    train, requests = roles.training_and_requests(spark, sf_dir)
+    weight = roles.popular_weight()
+    return recommend(train, requests, roles.rules(), weight, id_col=ID, item=ITEM, dedupe=dedupe)
 
 
 @_register

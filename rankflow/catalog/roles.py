@@ -78,8 +78,14 @@ def before_split() -> Column:
     return F.col("order_date") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
 
 
+def training_and_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = orders_with_roles(spark, sf_dir)
+    lines = lines_with_items(spark, sf_dir)
+    return lines.join(orders.where(before_split()), ID), orders.where(~before_split())
+
+
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interactions(spark, sf_dir).where(before_split())
+    return training_and_requests(spark, sf_dir)[0]
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,8 +89,8 @@ def ordered_lists(
 
     ``ranked`` holds at most ``k`` rows per id already partitioned by id, so collecting them is
     bounded and needs no further shuffle. The order comes from the rank itself, never from an
-    earlier sort. An id whose only row has no item (see ``match_rules``) gets the fallback list
-    by item.
+    earlier sort. An id whose rows hold no item (see ``match_rules``) gets the fallback list by
+    item.
     """
     pair = F.when(F.col(item).isNotNull(), F.struct(F.col(rank_col), F.col(item)))
     lists = ranked.groupBy(id_col).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
@@ -102,21 +102,12 @@ def ordered_lists(
     return lists.select(id_col, F.slice(padded, 1, k).alias(item))
 
 
-def match_rules(
-    requests: DataFrame,
-    table: DataFrame,
-    rules: Sequence[Rule],
-    id_col: str,
-    item: str,
-    k: int = 5,
-    rank_col: str = "rn",
-) -> DataFrame:
-    """All rules of ``rule_candidates`` matched in one join: ``id, item, rank``.
+def ask_rules(requests: DataFrame, rules: Sequence[Rule], id_col: str) -> DataFrame:
+    """One row per request and rule: ``id, _place, rule, keys...``.
 
-    Rank is ``rn`` times ``rank_step(k)`` per earlier rule. Every id keeps at least one row;
-    where a rule found nothing, item and rank are null. A request with a missing key is given
-    an impossible rule number that depends on its id: it still cannot match, and does not pile
-    up with others like it.
+    ``_place`` is the number of the rule. So is ``rule``, unless the request lacks one of its
+    keys: then it is an impossible number that depends on the id, so that such requests match
+    nothing and do not pile up in one partition.
     """
     types = key_types(requests, rules)
     entries = []
@@ -124,12 +115,57 @@ def match_rules(
         impossible = -1 - F.pmod(F.hash(id_col), F.lit(_SPREAD))
         entries.append(
             F.struct(
+                F.lit(number).alias("_place"),
                 F.when(keys_present(rule), F.lit(number)).otherwise(impossible).alias("rule"),
                 *rule_keys(rule, types),
             )
         )
-    asked = requests.select(id_col, F.inline(F.array(*entries)))
-    joined = join_ranked(asked, table, ["rule", *types], "left")
-    step = F.lit(rank_step(k))
-    rank = F.col(rank_col) * F.pow(step, F.col("rule") - 1).cast("bigint")
-    return joined.select(id_col, item, F.when(F.col(rank_col).isNotNull(), rank).alias(rank_col))
+    return requests.select(id_col, F.inline(F.array(*entries)))
+
+
+def match_rules(
+    requests: DataFrame, table: DataFrame, rules: Sequence[Rule], id_col: str, item: str, k: int = 5
+) -> DataFrame:
+    """All rules of ``rule_candidates`` matched in one join: ``id, item, rn``.
+
+    ``rn`` is the rank times ``rank_step(k)`` per earlier rule. Every id keeps at least one row;
+    where a rule found nothing, item and rank are null.
+    """
+    asked = ask_rules(requests, rules, id_col)
+    joined = join_ranked(asked, table, ["rule", *key_types(requests, rules)], "left")
+    rank = F.col("rn") * F.pow(F.lit(rank_step(k)), F.col("_place") - 1).cast("bigint")
+    return joined.select(id_col, item, F.when(F.col("rn").isNotNull(), rank).alias("rn"))
+
+
+def match_lists(
+    requests: DataFrame, lists: DataFrame, rules: Sequence[Rule], id_col: str
+) -> DataFrame:
+    """All rules of ``rule_lists`` matched in one join: ``id, _place, _items``.
+
+    One row per request and rule that found something, and one of the first rule in any case;
+    without a match its items are null.
+    """
+    asked = ask_rules(requests, rules, id_col)
+    joined = join_ranked(asked, lists, ["rule", *key_types(requests, rules)], "left")
+    kept = joined.where(F.col("_items").isNotNull() | (F.col("_place") == 1))
+    return kept.select(id_col, "_place", "_items")
+
+
+def merge_lists(matched: DataFrame, id_col: str, item: str, fallback: Column, k: int = 5) -> DataFrame:
+    """``union_rerank`` and ``ordered_lists`` in one, over ``match_lists``: ``id, items``.
+
+    Items go by place of their rule, then rank, then item. An id may have any number of rows,
+    and its first ``k`` by place and first item are enough: each brings at least one item, and
+    of rows of the same place that do not all fit, the first items come before all second ones.
+    So what is collected per id is bounded.
+    """
+    first = F.try_element_at("_items", F.lit(1))
+    order = [F.col("_items").isNull().asc(), F.asc("_place"), first.asc()]
+    kept = top_k_per_group(matched, [id_col], order, k, "_nth")
+    ranked = F.transform(
+        "_items", lambda x, i: F.struct(F.col("_place"), i.alias("rank"), x.alias("item"))
+    )
+    lists = kept.select(id_col, ranked.alias("ranked")).groupBy(id_col)
+    found = lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("found"))
+    own = F.when(F.size("found") == 0, F.sort_array(fallback)).otherwise(F.col("found"))
+    return found.select(id_col, F.slice(F.concat(own, fallback), 1, k).alias(item))

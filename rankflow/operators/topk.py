@@ -37,6 +37,10 @@ def top_k_per_group(
     and the hash alone tells almost every pair of groups apart.
     """
     groups = [F.xxhash64(*keys), *keys] if len(keys) > 1 else keys
+    return _trim(df, groups, order_by, k, rank_col)
+
+
+def _trim(df: DataFrame, groups, order_by: Sequence[Column], k: int, rank_col: str) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
     return df.withColumn(rank_col, position).where(F.col(rank_col) <= k)
 
@@ -103,9 +107,15 @@ def popular_list(df: DataFrame, item: str, weight: Column | None = None, k: int
 # --- all rules in one pass -------------------------------------------------------------------
 
 
+# Columns that the ranking of several rules adds.
+RESERVED = {"rule", "score", "rn"}
+
+
 def key_types(df: DataFrame, rules: Sequence[Rule]) -> dict[str, T.DataType]:
     """Type of every key column used by any rule, in order of first use."""
     names = dict.fromkeys(name for rule in rules for name in rule.keys)
+    if taken := RESERVED.intersection(names):
+        raise ValueError(f"rename the key columns {sorted(taken)}; the ranking adds columns so named")
     return {name: df.schema[name].dataType for name in names}
 
 
@@ -138,20 +148,32 @@ def keys_present(rule: Rule) -> Column:
 
 
 def rule_candidates(
-    train: DataFrame,
-    rules: Sequence[Rule],
-    item: str,
-    k: int = 5,
-    rank_col: str = "rn",
-    first_number: int = 1,
+    train: DataFrame, rules: Sequence[Rule], item: str, k: int = 5, first_number: int = 1
 ) -> DataFrame:
-    """``candidates`` of every rule from a single scan of ``train``: ``rule, keys..., item, rank``.
+    """``candidates`` of every rule from a single scan: ``rule, keys..., item, score, rn``.
 
     Each row turns into one entry per rule it serves, and all entries share one partial
     aggregation, one shuffle and one ranking, where a rule-by-rule plan would repeat the scan
     and its joins. ``rule`` counts from ``first_number``. Keys a rule does not use hold a
     constant; a rule without keys ranks the items of the whole table.
     """
+    return _ranked_by_rule(train, rules, item, k, first_number).drop("_key")
+
+
+def rule_lists(
+    train: DataFrame, rules: Sequence[Rule], item: str, k: int = 5, first_number: int = 1
+) -> DataFrame:
+    """``rule_candidates`` as one row per key, its items best first: ``rule, keys..., _items``.
+
+    The rows of a key are together after the ranking, so this takes no shuffle.
+    """
+    ranked = _ranked_by_rule(train, rules, item, k, first_number)
+    pairs = F.sort_array(F.collect_list(F.struct("rn", F.col(item).alias("item"))))
+    lists = ranked.groupBy("_key", "rule", *key_types(train, rules)).agg(pairs["item"].alias("_items"))
+    return lists.drop("_key")
+
+
+def _ranked_by_rule(train, rules, item, k, first_number) -> DataFrame:
     types = key_types(train, rules)
     entries = []
     for number, rule in enumerate(rules, start=first_number):
@@ -161,10 +183,11 @@ def rule_candidates(
             F.struct(
                 F.when(serves, F.lit(number)).alias("rule"),
                 *rule_keys(rule, types),
-                weight.cast("bigint").alias("weight"),
+                weight.cast("bigint").alias("_weight"),
             )
         )
     served = train.select(item, F.inline(F.array(*entries))).where(F.col("rule").isNotNull())
     group = ["rule", *types]
-    scored = served.groupBy(*group, item).agg(F.sum("weight").alias("score"))
-    return top_k_per_group(scored, group, _best_first("score", item), k, rank_col)
+    scored = served.groupBy(*group, item).agg(F.sum("_weight").alias("score"))
+    hashed = scored.withColumn("_key", F.xxhash64(*group))
+    return _trim(hashed, ["_key", *group], _best_first("score", item), k, "rn")

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.arrays import join_items
 from rankflow.functions.columns import booking_weight, in_year, scaled_key
-from rankflow.operators.cascade import match_rules, ordered_lists, union_rerank
-from rankflow.operators.topk import Rule, rule_candidates
+from rankflow.operators.cascade import (
+    match_lists,
+    match_rules,
+    merge_lists,
+    ordered_lists,
+    union_rerank,
+)
+from rankflow.operators.topk import Rule, rule_candidates, rule_lists
 from rankflow.sources.readers import read_by_name
 from rankflow.sources.schemas import interaction_schema
 from rankflow.sources.sinks import write_csv
@@ -37,29 +43,32 @@ def recommend(
     """``id, items`` for every request id: ``k`` items as an array.
 
     One pass over ``train`` ranks the candidates of all rules and the global list, the latter as
-    a rule without keys. One join matches requests to candidates, one shuffle by id ranks the
-    matches. Requests that no rule matched come out of the same join, so there is no set
+    a rule without keys. One join matches requests to candidate lists, one shuffle by id merges
+    the matches. Requests that no rule matched come out of the same join, so there is no set
     difference. Items may repeat, within the rules' matches and from padding; ``dedupe``
-    prevents that.
+    prevents that, at the price of matching item by item.
     """
-    everything = Rule(keys=(), weight=popular_weight)
-    table = rule_candidates(train, [everything, *rules], item, k, first_number=0)
+    all_rules = [Rule(keys=(), weight=popular_weight), *rules]
+    lists = rule_lists(train, all_rules, item, k, first_number=0)
+    popular = _global_list(lists)
+    if not dedupe:
+        return merge_lists(match_lists(requests, lists, rules, id_col), id_col, item, popular, k)
+    table = rule_candidates(train, rules, item, k)
     hits = match_rules(requests, table, rules, id_col, item, k)
-    if dedupe:
-        hits = hits.groupBy(id_col, item).agg(F.min("rn").alias("rn"))
-    ranked = union_rerank([hits], id_col, item, k)
-    return ordered_lists(ranked, id_col, item, _global_list(table, item), k, dedupe=dedupe)
+    best = hits.groupBy(id_col, item).agg(F.min("rn").alias("rn"))
+    ranked = union_rerank([best], id_col, item, k)
+    return ordered_lists(ranked, id_col, item, popular, k, dedupe=True)
 
 
-def _global_list(table: DataFrame, item: str) -> Column:
-    """Items of rule 0 as an array constant.
+def _global_list(lists: DataFrame) -> Column:
+    """Items of rule 0 as an array constant; empty without training rows.
 
     Rule 0 is picked inside the aggregate and not by a filter: a filter would sink to the scan,
     and the subquery could no longer reuse the shuffled candidates of the main plan.
     """
-    pair = F.when(F.col("rule") == 0, F.struct("rn", item))
-    row = table.agg(F.array_sort(F.collect_list(pair)).alias("ranked"))
-    return row.select(F.transform("ranked", lambda r: r[item]).alias("items")).scalar()
+    row = lists.agg(F.max(F.when(F.col("rule") == 0, F.col("_items"))).alias("best"))
+    none = F.array().cast(lists.schema["_items"].dataType)
+    return row.select(F.coalesce("best", none).alias("best")).scalar()
 
 
 def hotel_rules() -> list[Rule]:

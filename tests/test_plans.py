@@ -111,6 +111,22 @@ def test_hot_key_of_a_cascade_is_split(spark, skew):
     assert hits.where(F.col("rn").isNotNull()).count() == expected.where(F.col("rn").isNotNull()).count()
 
 
+def test_hot_key_of_the_recommender_is_split(spark, skew):
+    lists = recommend(
+        visits(spark), hot_requests(spark), [Rule(("place",))], None, id_col="id", item="item"
+    )
+    assert "skew=true" in executed(lists)
+    assert lists.count() == 60000
+
+
+def test_hot_id_is_trimmed_before_the_shuffle(spark, skew):
+    """All requests carry one id: each task passes on only its first rows of it."""
+    same = hot_requests(spark).withColumn("id", F.when(F.col("id") < 0, 2).otherwise(1))
+    lists = recommend(visits(spark), same, [Rule(("place",))], None, id_col="id", item="item")
+    assert "WindowGroupLimit [id" in planned(lists)
+    assert lists.count() == 1
+
+
 def test_hot_key_of_a_rule_is_split(spark, skew):
     table = candidates(visits(spark), Rule(("place",)), "item")
     assert "skew=true" in executed(match_rule(hot_requests(spark), table, ["place"], "id", "item"))

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankflow.functions import booking_weight
@@ -99,3 +100,9 @@ def test_popularity(spark):
     assert [r.top for r in listed.collect()] == [[2, 3, 1]] * 2
     empty = spark.range(1).select(popular_list(df.where("false"), "item").alias("top"))
     assert empty.first().top == []
+
+
+def test_key_names_that_the_ranking_adds_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "rn int, item int")
+    with pytest.raises(ValueError, match="rn"):
+        rule_candidates(df, [Rule(("rn",))], "item")
