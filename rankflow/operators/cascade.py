@@ -93,13 +93,21 @@ def ordered_lists(
     item.
     """
     pair = F.when(F.col(item).isNotNull(), F.struct(F.col(rank_col), F.col(item)))
-    lists = ranked.groupBy(id_col).agg(F.array_sort(F.collect_list(pair)).alias("_pairs"))
-    own = F.transform("_pairs", lambda p: p[item])
-    own = F.when(F.size("_pairs") == 0, F.sort_array(fallback)).otherwise(own)
-    padded = F.concat(own, fallback)
+    lists = ranked.groupBy(id_col).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
+    found = lists.select(id_col, F.col("_pairs")[item].alias("_found"), fallback.alias("_more"))
+    padded = _filled("_found", "_more")
     if dedupe:
         padded = F.array_distinct(padded)
-    return lists.select(id_col, F.slice(padded, 1, k).alias(item))
+    return found.select(id_col, F.slice(padded, 1, k).alias(item))
+
+
+def _filled(found: str, more: str) -> Column:
+    """A list padded with the fallback; an empty one is the fallback by item, padded likewise.
+
+    Takes columns: the fallback is a subquery, which should stand in a plan only once.
+    """
+    own = F.when(F.size(found) == 0, F.sort_array(more)).otherwise(F.col(found))
+    return F.concat(own, F.col(more))
 
 
 def ask_rules(requests: DataFrame, rules: Sequence[Rule], id_col: str) -> DataFrame:
@@ -166,6 +174,7 @@ def merge_lists(matched: DataFrame, id_col: str, item: str, fallback: Column, k:
         "_items", lambda x, i: F.struct(F.col("_place"), i.alias("rank"), x.alias("item"))
     )
     lists = kept.select(id_col, ranked.alias("ranked")).groupBy(id_col)
-    found = lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("found"))
-    own = F.when(F.size("found") == 0, F.sort_array(fallback)).otherwise(F.col("found"))
-    return found.select(id_col, F.slice(F.concat(own, fallback), 1, k).alias(item))
+    found = lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("_found"))
+    return found.select(id_col, "_found", fallback.alias("_more")).select(
+        id_col, F.slice(_filled("_found", "_more"), 1, k).alias(item)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.arrays import distinct_items, parse_int_list
@@ -24,13 +24,29 @@ def map_at_k(
 
     ``actual`` holds one item per row. Users without a truth score nothing but still count;
     without predictions the result is 0.
+
+    Against a single item, the precision is a sum over the places where the list holds it:
+    how often it came so far, over the place. So each place is looked up on its own among the
+    counted truth rows. The predictions are computed once, for the sum and the count alike,
+    and a user with very many truth rows is counted before the join.
     """
-    truth = actual.select(id_col, actual_col)
-    ap = average_precision(F.col(predicted_col), F.array(actual_col), k, empty_value=1.0)
-    scored = join_ranked(truth, predictions.select(id_col, predicted_col), [id_col], "inner")
-    total = scored.agg(F.sum(ap).alias("total"))
-    size = predictions.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return total.select(F.coalesce(F.try_divide("total", size), F.lit(0.0)).alias("map"))
+    items = F.slice(F.coalesce(predicted_col, F.array()), 1, k)
+
+    def place(item: Column, index: Column) -> Column:
+        so_far = F.size(F.filter(F.slice(items, 1, index + 1), lambda x: x == item))
+        return F.struct(item.alias(actual_col), (so_far / (index + 1)).alias("_gain"))
+
+    places = predictions.select(
+        id_col, F.posexplode_outer(F.transform(items, place)).alias("_index", "_place")
+    ).select(id_col, "_index", "_place.*")
+    truth = actual.groupBy(id_col, actual_col).agg(F.count(F.lit(1)).alias("_n"))
+    found = join_ranked(places, truth, [id_col, actual_col], "left")
+    totals = found.agg(
+        F.sum(F.col("_gain") * F.col("_n")).alias("total"),
+        F.count_if(F.coalesce("_index", F.lit(0)) == 0).alias("predictions"),
+    )
+    mean = F.try_divide("total", "predictions")
+    return totals.select(F.coalesce(mean, F.lit(0.0)).alias("map"))
 
 
 def mean_average_precision(

@@ -104,6 +104,22 @@ def test_map_at_k_counts_unmatched_predictions(spark):
     assert map_at_k(predictions, actual.where("false"), "id", "items", "item").first()["map"] == 0
 
 
+def test_map_at_k_equals_the_precision_of_each_pair(spark):
+    """Repeated predictions, repeated and several truths, lists beyond k, empty and missing lists."""
+    rng = random.Random(3)
+    lists = [(i, [rng.randrange(4) for _ in range(rng.randrange(8))]) for i in range(60)] + [(60, None)]
+    truth = [(rng.randrange(80), rng.randrange(5)) for _ in range(300)]
+    predictions = spark.createDataFrame(lists, "id int, items array<int>")
+    actual = spark.createDataFrame(truth, "id int, item int")
+    for k in (1, 3, 5):
+        pairs = [brute_force(items or [], [item], k, False, 1.0) for i, items in lists for j, item in truth if i == j]
+        result = map_at_k(predictions, actual, "id", "items", "item", k).first()["map"]
+        assert result == pytest.approx(sum(pairs) / len(lists))
+        ap = average_precision(F.col("items"), F.array("item"), k, empty_value=1.0)
+        total = predictions.join(actual, "id").agg(F.sum(ap)).first()[0]
+        assert result == pytest.approx(total / len(lists))
+
+
 def test_mean_average_precision_without_predictions(spark):
     df = spark.createDataFrame([], SCHEMA)
     result = mean_average_precision(df, df, "id", "predicted", "actual")
