@@ -53,7 +53,7 @@ def recommend(
     popular = _global_list(lists)
     if not dedupe:
         return merge_lists(match_lists(requests, lists, rules, id_col), id_col, item, popular, k)
-    table = rule_candidates(train, rules, item, k)
+    table = rule_candidates(train, all_rules, item, k, first_number=0)
     hits = match_rules(requests, table, rules, id_col, item, k)
     best = hits.groupBy(id_col, item).agg(F.min("rn").alias("rn"))
     ranked = union_rerank([best], id_col, item, k)
