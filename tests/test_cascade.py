@@ -40,7 +40,7 @@ def tables(seed, n_train=150, n_requests=120, n_items=9):
     train = [
         (
             maybe(rng.randrange(6)),
-            maybe(rng.choice("abcdefgh")),
+            maybe(rng.choice(["", *"abcdefg"])),
             rng.randrange(n_items),
             rng.randrange(2),
             rng.random() < 0.4,
@@ -48,7 +48,7 @@ def tables(seed, n_train=150, n_requests=120, n_items=9):
         for _ in range(n_train)
     ]
     requests = [
-        (i, maybe(rng.randrange(12)), maybe(rng.choice("abcdefghijklmnop"))) for i in range(n_requests)
+        (i, maybe(rng.randrange(12)), maybe(rng.choice(["", *"abcdefghijklmno"]))) for i in range(n_requests)
     ]
     return train, requests
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tests.conftest import TESTDATA
 from rankflow.catalog import ORACLES, QUERIES, roles
-from rankflow.functions import booking_weight
 from rankflow.operators import (
     Rule,
     candidates,

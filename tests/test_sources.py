@@ -129,6 +129,16 @@ def test_written_csv_is_sorted_across_files(spark, conf, tmp_path):
     assert back.exceptAll(df).count() == 0 and back.first().text == " padded "
 
 
+def test_rows_of_one_sort_key_fill_several_files(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    write_csv(df, str(tmp_path / "out"), order_by=["k"])
+    files = sorted((tmp_path / "out").glob("part-*.csv"))
+    keys = [[int(line.split(",")[0]) for line in f.read_text().splitlines()[1:]] for f in files]
+    assert sum(7 in part for part in keys) > 2
+    assert [k for part in keys for k in part] == sorted(k for part in keys for k in part)
+
+
 def test_writers_overwrite(spark, tmp_path):
     for n in (5, 3):
         write_parquet(spark.range(n), str(tmp_path / "p"))

@@ -1,0 +1,64 @@
+"""The built-in expressions against independent implementations run as Pandas UDFs."""
+
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from rankflow.catalog import roles
+from rankflow.functions import TITLE_GROUPS, average_precision, passenger_title
+from tests.conftest import TESTDATA
+
+SF_DIR = f"{TESTDATA}/sf0.01"
+
+
+def test_titles_of_composed_names(spark):
+    """Names put together from the customers: known and unknown titles, with and without signs."""
+    titles = F.array(*[F.lit(t) for t in [*TITLE_GROUPS, "Jonkheer", "the Countess", ""]])
+    customer = roles.table(spark, SF_DIR, "customer")
+    pick = F.element_at(titles, (F.pmod(F.xxhash64("c_custkey"), F.size(titles)) + 1).cast("int"))
+    people = customer.select(
+        F.concat("c_name", F.when(F.col("c_nationkey") < 20, ", ").otherwise(" "), pick,
+                 F.when(F.col("c_acctbal") < 8000, ". ").otherwise(" "), "c_mktsegment").alias("name"),
+        F.when(F.col("c_nationkey") < 12, "male").otherwise("female").alias("sex"),
+    )
+
+    @F.pandas_udf("string")
+    def twin(name: pd.Series, sex: pd.Series) -> pd.Series:
+        def title(n, s):
+            found = re.fullmatch(r".*, (.*?)\..*", n)
+            if not found:
+                return "Mr"
+            return TITLE_GROUPS.get(found.group(1), "Mr" if s == "male" else "Mrs")
+
+        return pd.Series([title(n, s) for n, s in zip(name, sex)])
+
+    both = people.select(passenger_title("name", "sex").alias("a"), twin("name", "sex").alias("b"))
+    assert both.where("a <> b OR a IS NULL").count() == 0
+    assert both.select("a").distinct().count() == len(set(TITLE_GROUPS.values()))
+
+
+def test_precision_of_orders(spark):
+    """Items of each order in two different orders, repeats kept."""
+    lines = roles.lines_with_items(spark, SF_DIR)
+    lists = lines.groupBy("id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("l_extendedprice", "item"))), lambda x: x["item"]).alias("p"),
+        F.slice(F.sort_array(F.collect_set("item")), 1, 3).alias("a"),
+    )
+
+    @F.pandas_udf("double")
+    def twin(predicted: pd.Series, actual: pd.Series) -> pd.Series:
+        def score(p, a):
+            hits, total = 0, 0.0
+            for i, item in enumerate(list(p)[:5], 1):
+                if item in set(a):
+                    hits += 1
+                    total += hits / i
+            return total / min(len(a), 5)
+
+        return pd.Series([score(p, a) for p, a in zip(predicted, actual)])
+
+    ours = average_precision(F.col("p"), F.col("a"), k=5, empty_value=1.0)
+    both = lists.select(ours.alias("x"), twin("p", "a").alias("y"))
+    assert both.where("abs(x - y) > 1e-12 OR x IS NULL").count() == 0
+    assert both.where("x > 0").count() > 1000
