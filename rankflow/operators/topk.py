@@ -183,7 +183,7 @@ def _ranked_by_rule(train, rules, item, k, first_number) -> DataFrame:
             F.struct(
                 F.when(serves, F.lit(number)).alias("rule"),
                 *rule_keys(rule, types),
-                weight.cast("bigint").alias("_weight"),
+                weight.alias("_weight"),
             )
         )
     served = train.select(item, F.inline(F.array(*entries))).where(F.col("rule").isNotNull())

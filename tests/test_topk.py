@@ -84,6 +84,13 @@ def test_one_pass_equals_rule_by_rule(spark):
         assert sorted(map(tuple, part.collect())) == sorted(map(tuple, alone.collect()))
 
 
+def test_fractional_weights(spark):
+    df = spark.createDataFrame([(1, 1, 0.5), (1, 1, 0.75), (1, 2, 1.0)], "city int, item int, w double")
+    rules = [Rule(("city",), F.col("w")), Rule(("city",))]
+    rows = rule_candidates(df, rules, "item").orderBy("rule", "rn").collect()
+    assert [(r.rule, r.item, r.score) for r in rows] == [(1, 1, 1.25), (1, 2, 1.0), (2, 1, 2.0), (2, 2, 1.0)]
+
+
 def test_ranks_have_no_gaps(spark):
     df = spark.createDataFrame(rows(), SCHEMA)
     ranks = candidates(df, Rule(("city",)), "item").groupBy("city").agg(F.sort_array(F.collect_list("rn")))
