@@ -1,29 +1,21 @@
-"""Where intermediate files go: the shared folder the session names, and nowhere else."""
+"""Where intermediate files go: a folder that driver and executors share, and nowhere else."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder in the warehouse.
 
-    Where it is unset a temporary folder serves, but only in local mode, where driver and
-    executors are one process; on a cluster the executors could not read each other's files.
+    Nothing here depends on the kind of master: both places are shared on a cluster.
     """
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rankflow-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_rankflow"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -34,3 +26,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses. Nothing is created."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new shared folder and read back.
+
+    Several readers then see the same rows even when an executor is lost, and the plan
+    starts anew from files.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder made by :func:`new_folder` once nothing reads it; false when there was none."""
+    if not path.startswith(shared_folder(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not inside the shared folder")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -23,7 +23,7 @@ from rankflow.sources import (
     write_csv,
     write_parquet,
 )
-from rankflow.sources.workspace import shared_folder
+from rankflow.sources.workspace import remove_folder, shared_folder, stored
 
 SCHEMA = T.StructType(
     [
@@ -171,7 +171,7 @@ def test_shared_folder_comes_from_the_session():
         """A cluster session, with and without the setting."""
 
         def __init__(self, setting):
-            self.conf = {"spark.checkpoint.dir": setting}
+            self.conf = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "hdfs://wh"}
             self.sparkContext = self
             self.master = "yarn"
 
@@ -182,8 +182,17 @@ def test_shared_folder_comes_from_the_session():
     assert shared_folder(named) == "hdfs://shared/folder/"
     first, second = new_folder(named, "x"), new_folder(named, "x")
     assert first.startswith("hdfs://shared/folder/x-") and first != second
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session(None))
+    assert shared_folder(Session(None)) == "hdfs://wh/_rankflow"
+
+
+def test_shared_folders_can_be_stored_to_and_removed(spark):
+    rows = stored(spark.range(3), "numbers")
+    assert sorted(r.id for r in rows.collect()) == [0, 1, 2]
+    path = new_folder(spark, "gone")
+    spark.range(1).write.parquet(path)
+    assert remove_folder(spark, path) and not remove_folder(spark, path)
+    with pytest.raises(ValueError, match="shared folder"):
+        remove_folder(spark, "/root/testdata")
 
 
 # --- whole files in, whole files out ---------------------------------------------------------
