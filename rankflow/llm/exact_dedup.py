@@ -104,5 +104,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (mark == F.col("_kept_mark"))
     rows = docs.join(kept, same).drop("_kept_id", "_kept_mark")
     single = rows.where("_times = 1").drop("_times")
-    repeated = rows.where("_times > 1").drop("_times").dropDuplicates([id_col])
+    repeated = rows.where("_times > 1").drop("_times").dropDuplicates([id_col, text_col])
     return single.unionByName(repeated)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm.exact_dedup import exact_groups
+from rankflow.llm.fingerprints import compare_with_next
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -36,3 +37,8 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@_register
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(_table(spark, sf_dir, "documents"))

@@ -1,0 +1,117 @@
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from rankflow.llm.fingerprints import (
+    K, compare_with_next, containment, distinct_shingles, edited, fingerprints, likeness, merge_sketches, resemblance,
+    sketches,
+)
+from rankflow.llm.words import hashed_words, shingle_sets
+from tests.conftest import TESTDATA
+
+
+def shingles(text, width=5):
+    words = [w for w in "".join(" " if c in "\t\n\r\x0b\x0c" else c for c in text.lower()).split(" ") if w]
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def sample_texts():
+    rng = random.Random(5)
+    words = [f"w{i}é" for i in range(60)]
+    texts = ["", "one", "one two", "a b c d e", "A b\tc\nd  e ", "x " * 4000, "y" * 70000 + " tail"]
+    texts += [" ".join(rng.choices(words, k=rng.randint(0, 200))) for _ in range(80)]
+    return texts
+
+
+def test_shingle_sets_match_brute_force():
+    texts = sample_texts()
+    sets = list(shingle_sets(pa.array(texts)))
+    names = {}
+    for text, hashes in zip(texts, sets):
+        assert len(hashes) == len(shingles(text)) and (np.diff(hashes) > 0).all() if len(hashes) else not shingles(text)
+    for i in range(0, len(texts), 7):
+        for j in range(len(texts)):
+            assert len(np.intersect1d(sets[i], sets[j])) == len(shingles(texts[i]) & shingles(texts[j])), names
+
+
+def test_words_of_sliced_arrays_and_nulls():
+    whole = pa.array(["skip me", "b a", None, "a", ""])
+    hashes, bounds = hashed_words(whole.slice(1))
+    assert bounds.tolist() == [0, 2, 2, 3, 3] and hashes[1] == hashes[2] != hashes[0]
+
+
+def test_small_sketches_are_exact_and_large_ones_close():
+    texts = sample_texts()
+    made = sketches(pa.array(texts), K)
+    errors = []
+    for i in range(0, len(texts) - 1):
+        a, b = shingles(texts[i]), shingles(edited(texts[i], texts[i + 1]))
+        error = likeness(made[i], sketches(pa.array([edited(texts[i], texts[i + 1])]), K)[0]) - jaccard(a, b)
+        errors.append(abs(error))
+        if len(a | b) <= K:
+            assert abs(error) < 1e-12
+    assert np.mean(errors) < 0.03
+
+
+ROWS = [(5, "five six seven eight nine ten"), (1, None), (2, "a b c d e f g h i j k l m n o p"), (9, "ünï cödé " * 9), (9, "same id"), (None, "no id here"), (7, "x" * 5000)]
+
+
+def next_rows(rows):
+    ordered = sorted(((-1 if i is None else i, t or "", i) for i, t in rows))
+    return [(a[2], a[1], ordered[(n + 1) % len(ordered)][1]) for n, a in enumerate(ordered)]
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "40"])
+def test_edited_text_takes_from_the_next_document(spark, conf, parts):
+    conf("spark.sql.shuffle.partitions", parts)
+    docs = spark.createDataFrame([(i, t, "x", True) for i, t in ROWS], "doc_id bigint, text string, range string, ahead boolean")
+    got = sorted(compare_with_next(docs).collect(), key=str)
+    want = []
+    for doc_id, text, after in next_rows(ROWS):
+        new = edited(text, after)
+        want.append((doc_id, len(text), hashlib.sha256(new.encode()).hexdigest(), jaccard(shingles(text), shingles(new)), jaccard(shingles(text), shingles(after))))
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_one_row_and_empty_table(spark):
+    docs = spark.createDataFrame([(3, "alone in the world of words")], "doc_id bigint, text string")
+    (row,) = compare_with_next(docs).collect()
+    assert row.near_next == 1.0
+    assert compare_with_next(docs.where("false")).count() == 0
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    rows = {r.doc_id: r for r in compare_with_next(docs).collect()}
+    source = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(rows) == len(source)
+    errors = []
+    for doc_id, text, after in next_rows(source):
+        new = edited(text, after)
+        assert rows[doc_id].edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        errors.append(rows[doc_id].near_edited - jaccard(shingles(text), shingles(new)))
+    assert np.abs(errors).mean() < 0.03
+    assert abs(np.mean(errors)) < 0.01
+
+
+def test_merged_columns_estimate_like_whole_texts(spark):
+    words = [f"t{i}" for i in range(900)]
+    left, right = " ".join(words[:600]), " ".join(words[300:])
+    docs = spark.createDataFrame([("l", " ".join(words[:302])), ("l", " ".join(words[298:600])), ("r", right), ("all", left), ("none", None)], "part string, text string")
+    made = merge_sketches(fingerprints(docs, "part"), ["part"])
+    by = {r.part: r.sketch for r in made.collect()}
+    assert by["l"] == by["all"] and by["none"] == [] and len(by["r"]) == K
+    a, b = (F.array(*map(F.lit, by[x])) for x in ("l", "r"))
+    got = spark.range(1).select(resemblance(a, b), containment(a, b), distinct_shingles(a)).first()
+    assert abs(got[0] - 296 / 896) < 0.12 and abs(got[1] - 296 / 596) < 0.15 and abs(got[2] / 596 - 1) < 0.25
+    assert abs(got[0] - likeness(np.array(by["l"]), np.array(by["r"]))) < 1e-12
