@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.exact_dedup import exact_groups
 from rankflow.llm.fingerprints import compare_with_next
+from rankflow.llm.ngram_join import ngram_join
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -42,3 +43,8 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 @_register
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents")).drop("row_mark")

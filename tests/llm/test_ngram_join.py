@@ -1,0 +1,108 @@
+import random
+
+import pytest
+
+from rankflow.llm.components import connected_components
+from rankflow.llm.ngram_join import choose_bands, drop_similar, ngram_join
+from tests.conftest import TESTDATA
+from tests.llm.test_fingerprints import jaccard, shingles
+
+SCHEMA = "doc_id bigint, text string, node string, n int, key int, a int"
+
+
+def brute(rows, threshold=0.8):
+    """{id: (links, group)} for unique ids."""
+    sets = {i: shingles(t or "") for i, t in rows}
+    near = {i: [j for j in sets if j != i and sets[i] and sets[j] and jaccard(sets[i], sets[j]) >= threshold] for i in sets}
+    group = {}
+    for i in sorted(sets):
+        if i not in group:
+            reach, queue = {i}, [i]
+            while queue:
+                new = [j for j in near[queue.pop()] if j not in reach]
+                reach.update(new)
+                queue += new
+            group |= dict.fromkeys(reach, min(reach))
+    return {i: (len(near[i]), group[i]) for i in sets}
+
+
+def near_copies(rng, text, changes):
+    words = text.split()
+    for i in rng.sample(range(len(words)), changes):
+        words[i] = f"new{rng.randint(0, 999)}"
+    return " ".join(words)
+
+
+def sample():
+    rng = random.Random(8)
+    rows, words = [], [f"word{i}" for i in range(400)]
+    for _ in range(25):
+        base = " ".join(rng.choices(words, k=rng.randint(60, 200)))
+        rows += [base, base.upper(), base + "  "] + [near_copies(rng, base, c) for c in (1, 1, 2, 3, 8, 15)]
+    rows += [None, "", " \n", "a", "a", "a b", "one two three four five", "one two three four five"]
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+def test_links_and_groups_match_brute_force(spark):
+    rows = sample()
+    docs = spark.createDataFrame([(i, t, "x", 1, 2, 3) for i, t in rows], SCHEMA)
+    got = {r.doc_id: (r.links, r.group_id) for r in ngram_join(docs, recall=0.9999, max_hashes=2000).collect()}
+    assert got == brute(rows)
+
+
+def test_drop_similar_leaves_one_row_of_each_group(spark):
+    rows = sample()
+    rows += [rows[0], rows[-1], (None, "no id"), (None, "no id"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x", 1, 2, 3) for i, t in rows], SCHEMA)
+    left = drop_similar(docs, recall=0.9999, max_hashes=2000)
+    assert left.columns == docs.columns
+    unique = [(i, t) for i, t in rows if i is not None][: len(sample())]
+    want = {g for _, g in brute(unique).values()}
+    found = [r.doc_id for r in left.collect()]
+    assert sorted(i for i in found if i is not None) == sorted(want) and found.count(None) == 2
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert ngram_join(empty).count() == 0 and drop_similar(empty).count() == 0
+
+
+def test_bands_reach_the_target():
+    bands, rows = choose_bands(0.8, 0.99, 640)
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.99 and bands * rows <= 640
+    with pytest.raises(ValueError, match="too small"):
+        choose_bands(0.1, 0.99, 2)
+
+
+def test_recall_on_the_supplied_documents(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = brute_fast(rows)
+    got = {r.doc_id: r.links for r in ngram_join(docs).collect()}
+    assert set(got) == {i for i, _ in rows}
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.97 * sum(want.values()) > 100
+
+
+def brute_fast(rows):
+    """Links of each id by an inverted index over whole shingle sets."""
+    sets = {i: shingles(t or "") for i, t in rows}
+    by = {}
+    for i, s in sets.items():
+        for g in s:
+            by.setdefault(g, []).append(i)
+    links = dict.fromkeys(sets, 0)
+    for i, s in sets.items():
+        partners = {j for g in s for j in by[g] if j != i}
+        links[i] = sum(jaccard(s, sets[j]) >= 0.8 for j in partners)
+    return links
+
+
+def test_components_of_a_path_a_star_and_a_loop(spark):
+    path = [(i, i + 1) for i in range(30)]
+    star = [(100, 200 + i) for i in range(50)]
+    edges = path + star + [(500, 500), (601, 600), (600, 601)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = {i: 0 for i in range(31)} | {100: 100} | {200 + i: 100 for i in range(50)} | {600: 600, 601: 600}
+    assert got == want
+    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
