@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rankflow.llm.exact_dedup import exact_groups
 from rankflow.llm.fingerprints import compare_with_next
 from rankflow.llm.ngram_join import ngram_join
+from rankflow.llm.secret_scan import secret_report
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -48,3 +49,8 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents")).drop("row_mark")
+
+
+@_register
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
