@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm.exact_dedup import exact_groups
 from rankflow.llm.fingerprints import compare_with_next
 from rankflow.llm.ngram_join import ngram_join
+from rankflow.llm.packing import pack, packed_digest
 from rankflow.llm.secret_scan import secret_report
+from rankflow.llm.token_files import read_token_files, write_token_files
+from rankflow.sources.workspace import new_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -54,3 +58,16 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return packed_digest(pack(documents, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_register
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
