@@ -13,6 +13,7 @@ from rankflow.llm.fingerprints import compare_with_next
 from rankflow.llm.ngram_join import ngram_join
 from rankflow.llm.packing import pack, packed_digest
 from rankflow.llm.secret_scan import secret_report
+from rankflow.llm.token_counts import count_tokens
 from rankflow.llm.token_files import read_token_files, write_token_files
 from rankflow.sources.workspace import new_folder
 
@@ -71,3 +72,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(spark, path).withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+@_register
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

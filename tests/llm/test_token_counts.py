@@ -1,0 +1,52 @@
+import random
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from rankflow.llm.token_counts import chunk_bounds, count_tokens, piece_model
+from tests.conftest import TESTDATA
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = SentencePieceProcessor(model_file=PATH)
+ALPHABET = ["a", "b", "the", " ", "  ", "\n", "é", "日本", "🙂", "1", "24", "<s>", "</s>", "▁", "ing", ".", ",", "\t", "é", "\x00"]
+
+
+def texts():
+    rng = random.Random(4)
+    made = [None, "", " ", "  two  ", "<s> a</s> <unk>", "▁▁x ▁", "é" * 300, "a" * 3000, " " * 2000, "🙂" * 700, "x" * 500 + " " + "y" * 900]
+    return made + ["".join(rng.choices(ALPHABET, k=rng.randint(1, 2500))) for _ in range(60)]
+
+
+def expected(rows, limit):
+    return sorted(((i, len((t or "").encode()), n := len(LIBRARY.encode(t or "")), n > limit) for i, t in rows), key=str)
+
+
+@pytest.mark.parametrize(("chunk", "overlap"), [(1 << 14, 256), (200, 8), (37, 1)])
+def test_counts_are_those_of_the_library(spark, chunk, overlap):
+    rows = list(enumerate(texts())) + [(3, "again " * 50), (None, "no id " * 90)]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id bigint, text string, row int, part int")
+    got = count_tokens(docs, PATH, limit=100, chunk=chunk, overlap=overlap)
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows, 100)
+
+
+def test_whole_table_with_small_chunks(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = count_tokens(docs, PATH, chunk=1000, overlap=16)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows, 4096)
+
+
+def test_overlaps_widen_until_a_stable_place():
+    model = piece_model(PATH)
+    data = ("a" * 400 + " ").encode() * 3
+    bounds = chunk_bounds(model, data, 50, 4)
+    assert bounds[0][0] == 0 and bounds[-1][2] == len(data)
+    for (_, _, end), (start, left, _) in zip(bounds, bounds[1:]):
+        assert left == end and model.stable(data, start, end)
+    assert max(end - start for (_, _, end), (start, _, _) in zip(bounds, bounds[1:])) > 100
+
+
+def test_empty_table(spark):
+    assert count_tokens(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0
