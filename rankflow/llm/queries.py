@@ -12,6 +12,7 @@ from rankflow.llm.exact_dedup import exact_groups
 from rankflow.llm.fingerprints import compare_with_next
 from rankflow.llm.ngram_join import ngram_join
 from rankflow.llm.packing import pack, packed_digest
+from rankflow.llm.quality import judge_quality
 from rankflow.llm.secret_scan import secret_report
 from rankflow.llm.token_counts import count_tokens
 from rankflow.llm.token_files import read_token_files, write_token_files
@@ -77,3 +78,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
