@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.exact_dedup import exact_groups
 from rankflow.llm.fingerprints import compare_with_next
+from rankflow.llm.mixing import mix_sources
 from rankflow.llm.ngram_join import ngram_join
 from rankflow.llm.packing import pack, packed_digest
 from rankflow.llm.quality import judge_quality
 from rankflow.llm.secret_scan import secret_report
 from rankflow.llm.token_counts import count_tokens
 from rankflow.llm.token_files import read_token_files, write_token_files
+from rankflow.llm.url_filter import judge_urls
 from rankflow.sources.workspace import new_folder
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +85,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"))
+
+
+@_register
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("row_mark")
