@@ -1,8 +1,10 @@
 """Similarity join of documents on word n-grams: MinHash bands propose pairs, full sets decide.
 
 Texts with equal n-gram sets form a class and are joined once. The bands of the classes are
-shuffled by their hashes; classes that meet in a band and whose set sizes allow the threshold are
-candidates, and each candidate pair is verified on both full sets. Any number of partners is kept.
+shuffled by their hashes; classes that meet in a band, directly or through others, form a cluster. All
+pairs within a cluster are verified on the full sets, block against block inside tasks: what leaves a
+task is a number of links for each class and a spanning forest, never the pairs. So a large group of
+near copies costs its pairs in arithmetic, not in rows, and no link is left out or capped.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from rankflow.sources.workspace import stored
 THRESHOLD = 0.8
 RECALL = 0.99
 MAX_HASHES = 640
+#: Classes, and shingles, of a block; a task compares two blocks at a time.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
 _SEED = 20240917
 
 
@@ -93,14 +97,15 @@ def _signatures(rows: DataFrame, bands: int, keep: int, width: int) -> DataFrame
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
-    """node, and its full set of shingle hashes."""
+    """node, class_size, and the full set of shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.astype(np.int64) for s in shingle_sets(batch.column(1), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [s.astype(np.int64) for s in shingle_sets(batch.column(2), width)]
+            columns = [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "class_size", "shingles"])
 
-    return rows.select("node", "text").mapInArrow(run, "node bigint, shingles array<bigint>")
+    return rows.select("node", "class_size", "text").mapInArrow(run, "node bigint, class_size bigint, shingles array<bigint>")
 
 
 def _addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -108,6 +113,105 @@ def _addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
+def _clusters(signed: DataFrame, leaders: DataFrame) -> DataFrame:
+    """node, root of each class that meets another in a band. Each bucket becomes a star, not its pairs."""
+    banded = signed.join(leaders, "node", "left_semi").select("node", F.explode("bands").alias("key"))
+    centres = banded.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stars = join_ranked(banded, centres, ["key"], "inner").where("node <> centre")
+    return connected_components(stars.select("node", "centre"), "node", "centre")
+
+
+def _block_pairs(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each class once for each pair of blocks it is verified in: root, i, j, block, node, size, shingles.
+
+    A cluster is dealt over blocks of about ``BLOCK_SETS`` classes or ``BLOCK_SHINGLES`` shingles by a hash; a cluster of one
+    block gives one pair.
+    """
+    rows = clusters.join(sets, "node")
+    weights = clusters.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("root")
+    weights = weights.agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles_in_all"))
+    number = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles_in_all") / BLOCK_SHINGLES))
+    rows = join_ranked(rows, weights.select("root", number.cast("bigint").alias("blocks")), ["root"], "inner")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    return rows.select("root", *pair, "block", "node", "class_size", "shingles")
+
+
+_LINKED = pa.schema({"node": pa.int64(), "links": pa.int64(), "nearest": pa.int64()})
+
+
+def count_links(
+    pair: tuple[int, int], nodes: np.ndarray, sizes: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], threshold: float
+) -> pa.RecordBatch:
+    """Links between all sets of one block, or of one block to another (which may be empty), weighted by class sizes.
+
+    One row for each set with a link: node, links, and the smallest node that its links lead to.
+    """
+    order = np.argsort(nodes)
+    nodes, sizes, blocks, sets = nodes[order], sizes[order], blocks[order], [sets[i] for i in order]
+    lengths = np.array([len(s) for s in sets])
+    ends = np.cumsum(lengths)
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    left, right = (np.flatnonzero(blocks == block) for block in pair)
+    if not len(left) or not len(right):
+        return pa.RecordBatch.from_pylist([], _LINKED)
+    coded = [codes[end - n : end] for end, n in zip(ends, lengths)]
+    flat = np.concatenate([coded[b] for b in right])
+    starts = np.cumsum(lengths[right]) - lengths[right]
+    present = np.zeros(len(values), dtype=np.int32)
+    links, group = np.zeros(len(nodes), dtype=np.int64), np.arange(len(nodes))
+    for place, a in enumerate(left):
+        present[coded[a]] = 1
+        shared = np.add.reduceat(present[flat], starts)
+        present[coded[a]] = 0
+        near = shared / (lengths[a] + lengths[right] - shared) >= threshold
+        if pair[0] == pair[1]:
+            near[: place + 1] = False
+        hits = right[near]
+        if len(hits):
+            links[a] += sizes[hits].sum()
+            links[hits] += sizes[a]
+            joined = np.unique(np.append(group[hits], group[a]))
+            group[np.isin(group, joined)] = joined[0]
+    linked = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays([pa.array(x[linked]) for x in (nodes, links, nodes[group])], schema=_LINKED)
+
+
+def _linked(block_pairs: DataFrame, threshold: float) -> DataFrame:
+    """The rows of :func:`count_links` for every pair of blocks; a task holds one pair of blocks at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def result() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            columns = [rows.column(c).to_numpy() for c in ("node", "class_size", "block")]
+            lists = rows.column("shingles").combine_chunks()
+            lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+            values, offsets = lists.flatten().to_numpy(), np.asarray(lists.value_lengths()).cumsum()
+            # rows that repeat a node carry the same set
+            _, first = np.unique(columns[0], return_index=True)
+            sets = [values[(offsets[i - 1] if i else 0) : offsets[i]] for i in first.tolist()]
+            return count_links(key[1:], *[c[first] for c in columns], sets, threshold)
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("root", "i", "j")], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if held and tuple(keys[a]) != key:
+                    yield result()
+                    held = []
+                if b > a:
+                    key = tuple(keys[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield result()
+
+    dealt = block_pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+    return dealt.mapInArrow(run, "node bigint, links bigint, nearest bigint")
+
+
 def similar_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -117,10 +221,11 @@ def similar_classes(
     max_hashes: int = MAX_HASHES,
     width: int = WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
-    """Members and links, both stored.
+    """Members and linked classes, both stored.
 
     Members: one row for each row of ``docs`` with doc_id, mark (hash of the text), node, n, class_node,
-    class_size. Links: a < b (class nodes), jaccard >= threshold, each pair once. Texts without words are
+    class_size. Linked: node (of a class), links (rows of other classes at or above the threshold), nearest (a node
+    of the same group). A class has one such row for each pair of blocks with a link. Texts without words are
     classes of their own without links.
     """
     bands, rows = choose_bands(threshold, recall, max_hashes)
@@ -139,27 +244,13 @@ def similar_classes(
         F.coalesce("class_size", F.lit(1).cast("bigint")).alias("class_size"),
     )
     members = stored(members, "members")
-    leaders = members.where("node = class_node and n > 0").select("node")
+    leaders = members.where("node = class_node and n > 0")
 
-    banded = signed.join(leaders, "node", "left_semi").select("node", "n", F.explode("bands").alias("key"))
-    left = banded.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"))
-    right = banded.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    fits = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct()
-    pairs = stored(pairs, "pairs")
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(members.select("node", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")), "node")
+    clusters = stored(_clusters(signed, leaders.select("node")), "clusters")
+    wanted = clusters.join(leaders, "node").select("node", "class_size", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     sets = stored(_sets(addressed.join(wanted, here), width), "sets")
-    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    checked = pairs.join(first, "a").join(second, "b").select(
-        "a", "b", (shared / (F.size("set_a") + F.size("set_b") - shared)).alias("jaccard")
-    )
-    links = stored(checked.where(F.col("jaccard") >= threshold).distinct(), "links")
-    return members, links
+    return members, stored(_linked(_block_pairs(clusters, sets), threshold), "linked")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -174,12 +265,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null or empty text, or one of white space alone, is linked to nothing. Rows repeated whole are in one
     class; one of them is kept. An empty table gives no rows. Other columns are ignored.
     """
-    members, links = similar_classes(docs, id_col, text_col, **options)
-    sizes = members.where("node = class_node").select("node", "class_size")
-    ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = ends.join(sizes.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("class_node"))
-    linked = linked.agg(F.sum("class_size").alias("outside"))
-    roots = connected_components(links).select(F.col("node").alias("class_node"), "root")
+    members, linked = similar_classes(docs, id_col, text_col, **options)
+    roots = connected_components(linked, "node", "nearest").select(F.col("node").alias("class_node"), "root")
+    linked = linked.groupBy(F.col("node").alias("class_node")).agg(F.sum("links").alias("outside"))
 
     rows = members.join(linked, "class_node", "left").join(roots, "class_node", "left")
     rows = rows.withColumn("root", F.coalesce("root", "class_node"))

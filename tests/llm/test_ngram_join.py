@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from rankflow.llm import ngram_join as module
 from rankflow.llm.components import connected_components
 from rankflow.llm.ngram_join import choose_bands, drop_similar, ngram_join
 from tests.conftest import TESTDATA
@@ -50,6 +51,14 @@ def test_links_and_groups_match_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_small_blocks_count_the_same_links(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_SETS", 2)
+    rows = sample()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.links, r.group_id) for r in ngram_join(docs, recall=0.9999, max_hashes=2000).collect()}
+    assert got == brute(rows)
+
+
 def test_drop_similar_leaves_one_row_of_each_group(spark):
     rows = sample()
     rows += [rows[0], rows[-1], (None, "no id"), (None, "no id"), (None, None)]
