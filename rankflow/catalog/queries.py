@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import StringIndexer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,12 @@ from rankflow.functions.titles import regex_lookup
 from rankflow.operators.aggregates import impute_joint_mean, joint_means, last_write_wins
 from rankflow.operators.cascade import (
     fill_remainder,
+    ids_without_match,
     match_rule,
     match_rules,
     ordered_lists as lists_of,
     rank_step,
-    union_rerank as rerank,
-    unmatched_ids as ids_without,
+    rerank_matched,
 )
 from rankflow.operators.ordering import category_index as number_categories, rank_sum_auc
 from rankflow.operators.pairs import clean_item_info
@@ -36,9 +36,9 @@ from rankflow.operators.topk import (
     rule_candidates as candidates_of_rules,
 )
 from rankflow.plans.classifier import FeatureSpec, classify
-from rankflow.plans.duplicates import pair_features
+from rankflow.plans.duplicates import pair_features, pair_features_from_files
 from rankflow.plans.evaluation import map_at_k, score_list_files
-from rankflow.plans.recommender import recommend
+from rankflow.plans.recommender import recommend, submit_hotels
 from rankflow.sources.audit import audit_csv
 from rankflow.sources.readers import (
     read_by_name,
@@ -48,13 +48,16 @@ from rankflow.sources.readers import (
     read_list_file,
     read_quoted,
 )
-from rankflow.sources.schemas import append_field, prepend_field, without_fields
+from rankflow.sources.schemas import append_field, interaction_schema, prepend_field, without_fields
 from rankflow.sources.sinks import head_sample as stored_head, write_csv, write_parquet
-from rankflow.sources.workspace import ensure_checkpoint_dir, new_folder
+from rankflow.sources.workspace import new_folder, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+#: Added to ids that go through list files, so that they need 64 bits.
+BEYOND_INT = 3_000_000_000
+
 
 def _register(query: Query) -> Query:
     QUERIES[query.__name__] = query
@@ -107,32 +110,19 @@ def _rule_hits(spark, sf_dir, number):
     return match_rule(requests, candidates(train, rule, ITEM), rule.keys, ID, ITEM, factor)
 
 
-def _all_hits(spark, sf_dir):
-    """Matches of all rules from one scan of the training rows."""
+def _matched(spark, sf_dir):
+    """Matches of all rules from one scan of the training rows; requests without any keep a row without a rank."""
     train, requests = roles.training_and_requests(spark, sf_dir)
     ranked = candidates_of_rules(train, roles.rules(), ITEM)
-    hits = match_rules(requests, ranked, roles.rules(), ID, ITEM)
-    return hits.where(F.col("rn").isNotNull())
-
-
-def _stored_hits(spark, sf_dir):
-    """The matches as a checkpoint, for steps that read them twice."""
-    ensure_checkpoint_dir(spark)
-    return _all_hits(spark, sf_dir).checkpoint()
+    return match_rules(requests, ranked, roles.rules(), ID, ITEM)
 
 
 def _top_items(spark, sf_dir):
     return popular_list(roles.training(spark, sf_dir), ITEM, roles.popular_weight())
 
 
-def _remainder(spark, sf_dir, hits):
-    ids = ids_without(roles.requests(spark, sf_dir), ID, hits)
-    return fill_remainder(ids, ID, ITEM, _top_items(spark, sf_dir))
-
-
 def _reranked(spark, sf_dir):
-    hits = _stored_hits(spark, sf_dir)
-    return rerank([hits, _remainder(spark, sf_dir, hits)], ID, ITEM)
+    return rerank_matched(_matched(spark, sf_dir), ID, ITEM, _top_items(spark, sf_dir))
 
 
 @_register
@@ -152,12 +142,13 @@ def join_rule3(spark, sf_dir):
 
 @_register
 def unmatched_ids(spark, sf_dir):
-    return ids_without(roles.requests(spark, sf_dir), ID, _all_hits(spark, sf_dir))
+    return ids_without_match(_matched(spark, sf_dir), ID)
 
 
 @_register
 def remainder_fill(spark, sf_dir):
-    return _remainder(spark, sf_dir, _all_hits(spark, sf_dir))
+    ids = ids_without_match(_matched(spark, sf_dir), ID)
+    return fill_remainder(ids, ID, ITEM, _top_items(spark, sf_dir))
 
 
 @_register
@@ -190,6 +181,51 @@ def cascade_distinct(spark, sf_dir):
     return _recommended(spark, sf_dir, dedupe=True).select(ID, join_items(ITEM).alias("items"))
 
 
+def _without_low_items(train):
+    """Training rows whose items up to 5 are unknown."""
+    return train.withColumn(ITEM, F.when(F.col(ITEM) > 5, F.col(ITEM)))
+
+
+@_register
+def topk_null_items(spark, sf_dir):
+    return candidates(_without_low_items(roles.interactions(spark, sf_dir)), roles.rules()[2], ITEM)
+
+
+@_register
+def cascade_null_items(spark, sf_dir):
+    """Rows without an item recommend nothing, and every list still has five items."""
+    train, requests = roles.training_and_requests(spark, sf_dir)
+    rules, weight = roles.rules(), roles.popular_weight()
+    lists = recommend(_without_low_items(train), requests, rules, weight, id_col=ID, item=ITEM)
+    return lists.select(ID, join_items(ITEM).alias("items"))
+
+
+@_register
+def hotel_files(spark, sf_dir):
+    """The hotel flow from CSV to CSV, on the supplied tables in its layout; 1996 is moved to the year of its second rule."""
+    train, requests = roles.training_and_requests(spark, sf_dir)
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in interaction_schema(False).fields}
+
+    def layout(df, **more):
+        columns = empty | {
+            "date_time": F.col("order_date") + F.expr("INTERVAL 18 YEARS"),
+            "user_id": F.col("user"),
+            "user_location_city": F.col("city"),
+            "orig_destination_distance": F.col("distance_key") / 100000,
+            "srch_destination_id": F.col("dest"),
+            "hotel_country": F.substring("country", 1, 1),
+            "hotel_market": F.ascii("market"),
+        }
+        return df.select(*[c.alias(n) for n, c in (columns | more).items() if c is not None])
+
+    train_path, test_path, out = (new_folder(spark, n) for n in ("hotel-train", "hotel-test", "hotel-out"))
+    write_csv(layout(train, id=None, is_booking=F.col("is_booking"), cnt=F.lit(1), hotel_cluster=F.col(ITEM)), train_path)
+    write_csv(layout(requests, id=F.col(ID), is_booking=None, cnt=None), test_path)
+    submit_hotels(spark, train_path, test_path, out)
+    result = T.StructType([T.StructField(ID, T.LongType()), T.StructField("hotel_cluster", T.StringType())])
+    return read_by_name(spark, out, result)
+
+
 # --- pairs -----------------------------------------------------------------------------------
 
 
@@ -230,6 +266,30 @@ def pair_enrich(spark, sf_dir):
     return pair_features(pairs, info, location)
 
 
+@_register
+def pair_files(spark, sf_dir):
+    """The pair flow from CSV files: every customer with the next one."""
+    customer = table(spark, sf_dir, "customer")
+    pairs = customer.select(F.col("c_custkey").alias("itemID_1"), (F.col("c_custkey") + 1).alias("itemID_2"))
+    info = customer.select(
+        F.col("c_custkey").alias("itemID"),
+        F.concat(F.lit('"'), "c_name", F.lit('", ""')).alias("title"),
+        F.col("c_mktsegment").alias("description"),
+        F.col("c_name").alias("images_array"),
+        F.lit("{}").alias("attrsJSON"),
+        F.col("c_acctbal").alias("price"),
+        F.col("c_nationkey").alias("locationID"),
+    )
+    nation = table(spark, sf_dir, "nation")
+    location = nation.select(F.col("n_nationkey").alias("locationID"), F.col("n_regionkey").alias("regionID"))
+    paths = []
+    for name, rows in (("pairs", pairs), ("info", info), ("location", location)):
+        paths.append(new_folder(spark, name))
+        write_csv(rows, paths[-1])
+    found = pair_features_from_files(spark, *paths)
+    return found.select(F.col("itemID_1").cast("bigint"), F.col("itemID_2").cast("bigint"), "title_1", "title_2", "price_1", "price_2", "regionID_1", "regionID_2")
+
+
 # --- tabular features ------------------------------------------------------------------------
 
 
@@ -251,11 +311,10 @@ def impute_mean(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
     averages = lines.agg(F.avg("l_quantity").alias("quantity"), F.avg("l_tax").alias("tax"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("order_date"))
-    measured = orders.join(averages, "o_orderkey", "left")
-    sides = [measured.where(roles.before_split()), measured.where(~roles.before_split())]
-    train, test = impute_joint_mean(sides, ["quantity", "tax"])
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    return both.select(
+    side = F.when(roles.before_split(), "train").otherwise("test")
+    measured = stored(orders.withColumn("side", side).join(averages, "o_orderkey", "left"), "measured")
+    (filled,) = impute_joint_mean([measured], ["quantity", "tax"])
+    return filled.select(
         "o_orderkey", "side", F.round("quantity", 6).alias("quantity"), F.round("tax", 6).alias("tax")
     )
 
@@ -304,18 +363,36 @@ def _user_lists(spark, sf_dir):
 
     Lists hold ``k`` items per ranking, or the distinct items of a customer.
     """
+    early = roles.before_split()
     lines = roles.interactions(spark, sf_dir)
-    early, late = lines.where(roles.before_split()), lines.where(~roles.before_split())
-    rankings = [roles.Rule(("user",)), roles.Rule(("user",), roles.popular_weight())]
-    ranked = candidates_of_rules(early, rankings, ITEM)
-    places = F.array_sort(F.collect_list(F.struct("rule", "rn", ITEM))).alias("places")
-    predicted = ranked.groupBy("user").agg(places).select(
+    per_item = lines.groupBy("user", ITEM).agg(
+        F.count_if(early).alias("n"),
+        F.sum(F.when(early, roles.popular_weight()).otherwise(0)).alias("weight"),
+        F.count_if(~early).alias("later"),
+    )
+    # the items of a customer are at most all items, summed up before they meet
+    place = {c: F.row_number().over(Window.partitionBy("user").orderBy(F.desc(c), F.asc(ITEM))) for c in ("n", "weight")}
+    ranked = per_item.select("user", ITEM, "n", "later", place["n"].alias("first"), place["weight"].alias("second"))
+
+    def best(column: str) -> Column:
+        chosen = F.when((F.col("n") > 0) & (F.col(column) <= 5), F.struct(column, ITEM))
+        return F.transform(F.array_sort(F.collect_list(chosen)), lambda p: p[ITEM])
+
+    lists = ranked.groupBy("user").agg(
+        best("first").alias("by_count"),
+        best("second").alias("by_weight"),
+        F.array_sort(F.collect_list(F.when(F.col("later") > 0, F.col(ITEM)))).alias("actual"),
+    )
+
+    def found(items: Column) -> Column:
+        return F.when(F.size(items) > 0, items)
+
+    return lists.select(
         "user",
-        F.transform("places", lambda p: p[ITEM]).alias("predicted"),
-        F.transform(F.filter("places", lambda p: p["rule"] == 1), lambda p: p[ITEM]).alias("by_count"),
+        found(F.concat("by_count", "by_weight")).alias("predicted"),
+        found(F.col("by_count")).alias("by_count"),
+        found(F.col("actual")).alias("actual"),
     )
-    actual = late.groupBy("user").agg(F.array_sort(F.collect_set(ITEM)).alias("actual"))
-    return predicted.join(actual, "user", "full")
 
 
 @_register
@@ -351,7 +428,7 @@ def map_at_5(spark, sf_dir):
 @_register
 def map_file(spark, sf_dir):
     """Predictions and truth by way of list files; customers' later items replace earlier ones."""
-    lists = _user_lists(spark, sf_dir)
+    lists = stored(_user_lists(spark, sf_dir), "user-lists")
     predicted = lists.where(F.col("predicted").isNotNull())
     versions = F.array(
         F.struct(F.lit(0).alias("version"), F.array_sort("by_count").alias("found")),
@@ -360,8 +437,9 @@ def map_file(spark, sf_dir):
     truth = lists.select("user", F.inline(versions)).where(F.col("found").isNotNull())
     in_order = truth.repartitionByRange("user", "version").sortWithinPartitions("user", "version")
     predicted_path, truth_path = new_folder(spark, "predicted"), new_folder(spark, "truth")
-    write_csv(predicted.select("user", join_items("predicted")), predicted_path, header=False)
-    write_csv(in_order.select("user", join_items("found")), truth_path, header=False)
+    number = (F.col("user") + BEYOND_INT).alias("user")
+    write_csv(predicted.select(number, join_items("predicted")), predicted_path, header=False)
+    write_csv(in_order.select(number, join_items("found")), truth_path, header=False)
     score = score_list_files(spark, predicted_path, truth_path)
     return score.select(F.round("map", 9).alias("map"))
 
@@ -373,7 +451,7 @@ def list_parse(spark, sf_dir):
     items = lines.groupBy(ID).agg(F.array_sort(F.collect_set(ITEM)).alias("items"))
     path = new_folder(spark, "lists")
     repeated = F.concat("items", F.reverse("items"))
-    write_csv(items.select(ID, join_items(repeated)), path, header=False)
+    write_csv(items.select((F.col(ID) + BEYOND_INT).alias(ID), join_items(repeated)), path, header=False)
     parsed = read_list_file(spark, path).withColumn("parsed", parse_int_list("items"))
     return parsed.select(
         ID,
@@ -430,6 +508,21 @@ def rf_predict(spark, sf_dir):
     return scored.select("doc_id", F.col("predictedLabel").alias("quality"))
 
 
+@_register
+def forest_rule(spark, sf_dir):
+    """Labels that follow from one category: the forest has to find them. Whole grid and folds, by way of a file."""
+    spec = FeatureSpec(id="doc_id", label="label", numeric=("n_chars",), categorical=("lang",))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    label = F.when(F.col("lang").isin("en", "de"), "1").otherwise("0").alias("label")
+    labels = table(spark, sf_dir, "labels")
+    train = documents.join(labels, "doc_id", "left_semi").select("*", label)
+    scored = classify(train, documents.join(labels, "doc_id", "left_anti"), spec)
+    path = new_folder(spark, "submission")
+    write_csv(scored.select("doc_id", F.col("predictedLabel").alias("quality")), path, order_by=["doc_id"])
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("quality", T.StringType())])
+    return read_by_name(spark, path, schema)
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
@@ -481,6 +574,31 @@ def csv_infer(spark, sf_dir):
     return read_inferred(spark, path)
 
 
+def _event_files(spark, sf_dir):
+    """Events whose last field holds quotes and commas."""
+    events = table(spark, sf_dir, "events").withColumn("props", F.concat("props", F.lit(', "x", y')))
+    path = new_folder(spark, "csv")
+    write_csv(events, path)
+    return path, events.schema
+
+
+@_register
+def csv_events(spark, sf_dir):
+    return read_by_name(spark, *_event_files(spark, sf_dir))
+
+
+@_register
+def csv_events_declared(spark, sf_dir):
+    return read_declared(spark, *_event_files(spark, sf_dir))
+
+
+@_register
+def csv_events_inferred(spark, sf_dir):
+    path, schema = _event_files(spark, sf_dir)
+    found = read_inferred(spark, path)
+    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @_register
 def csv_quoted(spark, sf_dir):
     """Whole texts with quotes, commas and line breaks."""

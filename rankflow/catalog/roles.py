@@ -79,9 +79,19 @@ def before_split() -> Column:
 
 
 def training_and_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training lines and later orders. Lines meet the early orders first, so only those look up their part."""
     orders = orders_with_roles(spark, sf_dir)
-    lines = lines_with_items(spark, sf_dir)
-    return lines.join(orders.where(before_split()), ID), orders.where(~before_split())
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias(ID),
+        "l_partkey",
+        F.when(F.col("l_returnflag") == "A", 1).otherwise(0).alias("is_booking"),
+        "l_extendedprice",
+    )
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), F.substring("p_brand", 7, 10).cast("int").alias(ITEM)
+    )
+    early = lines.join(orders.where(before_split()), ID).join(part, "l_partkey").drop("l_partkey")
+    return early, orders.where(~before_split())
 
 
 def training(spark: SparkSession, sf_dir: str) -> DataFrame:

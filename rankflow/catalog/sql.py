@@ -151,6 +151,8 @@ unique_predictions AS (
 )
 """
 
+_EVENTS = "SELECT * REPLACE (props || ', \"x\", y' AS props) FROM events"
+
 ORACLES: dict[str, str] = {
     "weighted_popularity": f"WITH {_ROLES} {_POPULAR.format(source='lines')}",
     "global_top5": f"WITH {_ROLES} {_POPULAR.format(source='lines')} LIMIT 5",
@@ -172,6 +174,12 @@ UNION ALL SELECT 3, 0, 0, dest, '', '', item, score, rn FROM rule3
     "ordered_lists": f"{_CASCADE} SELECT id, array_to_string(items, ' ') AS items FROM lists ORDER BY id",
     "cascade_recommend": f"{_CASCADE} SELECT id, array_to_string(items, ' ') AS items FROM lists",
     "cascade_distinct": _DISTINCT_LISTS,
+    "topk_null_items": f"WITH {_ROLES} {_rule(3, 'interactions').replace('WHERE TRUE', 'WHERE item > 5')}",
+    "cascade_null_items": f"""
+{_CASCADE.replace("FROM interactions WHERE", "FROM interactions WHERE item > 5 AND")}
+SELECT id, array_to_string(items, ' ') AS items FROM lists
+""",
+    "hotel_files": f"{_CASCADE} SELECT id, array_to_string(items, ' ') AS hotel_cluster FROM lists",
     "suffix_rename": """
 SELECT s_suppkey AS s_suppkey_1, s_name AS s_name_1, s_nationkey AS s_nationkey_1,
        s_acctbal AS s_acctbal_1
@@ -190,6 +198,13 @@ SELECT b.c_nationkey AS "locationID_2", a.c_nationkey AS "locationID_1",
        b.c_acctbal AS price_2, nb.n_regionkey AS "regionID_2"
 FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1
 JOIN nation na ON a.c_nationkey = na.n_nationkey JOIN nation nb ON b.c_nationkey = nb.n_nationkey
+""",
+    "pair_files": """
+SELECT a.c_custkey AS "itemID_1", b.c_custkey AS "itemID_2",
+       CAST(length(a.c_name) + 6 AS INTEGER) AS title_1, CAST(length(b.c_name) + 6 AS INTEGER) AS title_2,
+       a.c_acctbal AS price_1, b.c_acctbal AS price_2, na.n_regionkey AS "regionID_1", nb.n_regionkey AS "regionID_2"
+FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1
+JOIN nation na ON a.c_nationkey = na.n_nationkey JOIN nation nb ON b.c_nationkey = nb.n_nationkey
 """,
     "joint_mean": """
 SELECT round(coalesce(avg(acctbal), 0.0), 6) AS acctbal, round(coalesce(avg(nationkey), 0.0), 6) AS nationkey
@@ -281,7 +296,7 @@ FROM precisions WHERE "user" IN (SELECT "user" FROM predicted)
     "list_parse": f"""
 WITH {_ROLES},
 unique_items AS (SELECT DISTINCT id, item FROM lines)
-SELECT CAST(id AS INTEGER) AS id, CAST(2 * count(*) AS INTEGER) AS n_items,
+SELECT CAST(id + 3000000000 AS BIGINT) AS id, CAST(2 * count(*) AS INTEGER) AS n_items,
        string_agg(CAST(item AS VARCHAR), ' ' ORDER BY item) AS distinct_items
 FROM unique_items GROUP BY id
 """,
@@ -308,6 +323,10 @@ WITH counts AS (
 running AS (SELECT pos, neg, sum(neg) OVER (ORDER BY n_chars) - neg AS below FROM counts)
 SELECT round(CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / (2.0 * CAST(sum(pos) * sum(neg) AS DOUBLE)), 9) AS auc
 FROM running
+""",
+    "forest_rule": """
+SELECT doc_id, CASE WHEN lang IN ('en', 'de') THEN '1' ELSE '0' END AS quality
+FROM documents ANTI JOIN labels USING (doc_id)
 """,
     "head_sample": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000",
     "text_lines": "SELECT o_orderkey, o_orderpriority FROM orders",
@@ -318,6 +337,9 @@ SELECT o_orderpriority, o_orderdate, o_totalprice, o_orderstatus, o_orderkey FRO
     "csv_infer": """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
 """,
+    "csv_events": _EVENTS,
+    "csv_events_declared": _EVENTS,
+    "csv_events_inferred": _EVENTS,
     "csv_quoted": "SELECT * FROM documents",
     "parquet_roundtrip": "SELECT * FROM lineitem",
     "row_audit": """

@@ -10,15 +10,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_int_list(text: Column | str, sep: str = " ", strict: bool = False) -> Column:
-    """``"15 25 9"`` -> ``[15, 25, 9]``, order and repeats kept.
+def parse_int_list(text: Column | str, sep: str = " ", strict: bool = True) -> Column:
+    """``"15 25 9"`` -> ``[15, 25, 9]`` as bigint, order and repeats kept; a blank text is an empty list.
 
-    A token that is not an integer is left out; with ``strict`` it fails the query instead.
+    A token that is not an integer fails the query. Without ``strict`` it is null in its place, so
+    that later items keep theirs.
     """
-    tokens = F.split(_col(text), sep)
-    if strict:
-        return tokens.cast("array<int>")
-    return F.filter(F.transform(tokens, lambda t: t.try_cast("int")), lambda v: v.isNotNull())
+    tokens = F.filter(F.split(_col(text), sep), lambda t: t != "")
+
+    def number(token: Column) -> Column:
+        value = token.try_cast("bigint")
+        bad = F.raise_error(F.concat(F.lit("not an integer in a list: "), token))
+        return F.coalesce(value, bad) if strict else value
+
+    return F.transform(tokens, number)
 
 
 def distinct_items(items: Column | str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.functions.arrays import first_items, pad_items
 from rankflow.operators.joins import join_ranked
 from rankflow.operators.topk import Rule, key_types, keys_present, rule_keys, top_k_per_group
 
@@ -60,6 +61,38 @@ def fill_remainder(
     return filled.select(id_col, item, F.lit(REMAINDER_RANK).alias(rank_col))
 
 
+def ids_without_match(matched: DataFrame, id_col: str, rank_col: str = "rn") -> DataFrame:
+    """Ids of ``match_rules`` that no rule matched: their rows hold no rank. One aggregation, no second scan."""
+    counts = matched.groupBy(id_col).agg(F.count(rank_col).alias("_n"))
+    return counts.where(F.col("_n") == 0).select(id_col)
+
+
+def rerank_matched(
+    matched: DataFrame,
+    id_col: str,
+    item: str,
+    fallback: Column,
+    k: int = 5,
+    rank_col: str = "rn",
+    new_rank_col: str = "rn_all",
+) -> DataFrame:
+    """Remainder, bag union and ranking of ``match_rules`` in one pass: ``id, item, rank, new rank``.
+
+    Rows without a rank sort last, so one of them leads its id only where nothing matched; it turns into
+    the items of ``fallback``, which all hold the last rank and go by item.
+    """
+    order = [F.asc_nulls_last(rank_col), F.asc(item)]
+    ranked = top_k_per_group(matched, [id_col], order, k, new_rank_col)
+    ranked = ranked.where(F.col(rank_col).isNotNull() | (F.col(new_rank_col) == 1)).select("*", fallback.alias("_more"))
+
+    def entry(what: Column, rank: Column, place: Column) -> Column:
+        return F.struct(what.alias(item), rank.cast("bigint").alias(rank_col), place.cast("int").alias(new_rank_col))
+
+    filled = F.transform(F.sort_array("_more"), lambda x, i: entry(x, F.lit(REMAINDER_RANK), i + 1))
+    own = F.array(entry(F.col(item), F.col(rank_col), F.col(new_rank_col)))
+    return ranked.select(id_col, F.inline(F.when(F.col(rank_col).isNull(), filled).otherwise(own)))
+
+
 def union_rerank(
     parts: Sequence[DataFrame],
     id_col: str,
@@ -95,19 +128,17 @@ def ordered_lists(
     pair = F.when(F.col(item).isNotNull(), F.struct(F.col(rank_col), F.col(item)))
     lists = ranked.groupBy(id_col).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
     found = lists.select(id_col, F.col("_pairs")[item].alias("_found"), fallback.alias("_more"))
-    padded = _filled("_found", "_more")
-    if dedupe:
-        padded = F.array_distinct(padded)
-    return found.select(id_col, F.slice(padded, 1, k).alias(item))
+    own = _own_or_fallback("_found", "_more")
+    every = F.array_distinct(F.concat(own, "_more"))
+    return found.select(id_col, (first_items(every, k) if dedupe else pad_items(own, "_more", k)).alias(item))
 
 
-def _filled(found: str, more: str) -> Column:
-    """A list padded with the fallback; an empty one is the fallback by item, padded likewise.
+def _own_or_fallback(found: str, more: str) -> Column:
+    """A list, or the fallback by item where it is empty.
 
     Takes columns: the fallback is a subquery, which should stand in a plan only once.
     """
-    own = F.when(F.size(found) == 0, F.sort_array(more)).otherwise(F.col(found))
-    return F.concat(own, F.col(more))
+    return F.when(F.size(found) == 0, F.sort_array(more)).otherwise(F.col(found))
 
 
 def ask_rules(requests: DataFrame, rules: Sequence[Rule], id_col: str) -> DataFrame:
@@ -176,5 +207,5 @@ def merge_lists(matched: DataFrame, id_col: str, item: str, fallback: Column, k:
     lists = kept.select(id_col, ranked.alias("ranked")).groupBy(id_col)
     found = lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("_found"))
     return found.select(id_col, "_found", fallback.alias("_more")).select(
-        id_col, F.slice(_filled("_found", "_more"), 1, k).alias(item)
+        id_col, pad_items(_own_or_fallback("_found", "_more"), "_more", k).alias(item)
     )

@@ -65,8 +65,9 @@ def candidates(
     """Top ``k`` items per key of one rule: ``keys, item, score, rank``. Ties go to the lower item.
 
     Groups with a null key can never be joined to, so they are dropped before the shuffle
-    unless asked for.
+    unless asked for. Rows without an item rank nothing.
     """
+    df = df.where(F.col(item).isNotNull())
     if rule.where is not None:
         df = df.where(rule.where)
     if not keep_null_keys:
@@ -78,8 +79,8 @@ def candidates(
 def popularity(
     df: DataFrame, item: str, weight: Column | None = None, score_col: str = "score"
 ) -> DataFrame:
-    """Score of every item over the whole table, best first."""
-    scored = df.groupBy(item).agg(_score(weight).alias(score_col))
+    """Score of every item over the whole table, best first; rows without an item don't count."""
+    scored = df.where(F.col(item).isNotNull()).groupBy(item).agg(_score(weight).alias(score_col))
     return scored.orderBy(*_best_first(score_col, item))
 
 
@@ -186,7 +187,7 @@ def _ranked_by_rule(train, rules, item, k, first_number) -> DataFrame:
                 weight.alias("_weight"),
             )
         )
-    served = train.select(item, F.inline(F.array(*entries))).where(F.col("rule").isNotNull())
+    served = train.where(F.col(item).isNotNull()).select(item, F.inline(F.array(*entries))).where(F.col("rule").isNotNull())
     group = ["rule", *types]
     scored = served.groupBy(*group, item).agg(F.sum("_weight").alias("score"))
     hashed = scored.withColumn("_key", F.xxhash64(*group))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.columns import with_default
 from rankflow.functions.titles import family_size, passenger_title
 from rankflow.operators.aggregates import impute_joint_mean
+from rankflow.sources.audit import require_clean
 from rankflow.sources.readers import read_by_name
 from rankflow.sources.schemas import PASSENGER_SCHEMA, without_fields
 from rankflow.sources.sinks import write_csv
@@ -83,9 +84,12 @@ def prepare_passengers(train: DataFrame, test: DataFrame) -> tuple[DataFrame, Da
 def check_categories(df: DataFrame, columns: Sequence[str], limit: int) -> None:
     """Refuse columns with more values than a tree can bin, before an indexer collects them."""
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
-    # The estimate is off by a few percent; only a clear excess is refused here, and the
-    # forest itself checks the exact number against maxBins.
+    # The estimate is off by a few percent: a clear excess needs no exact count, and what is
+    # left has few values.
     wide = [c for c, n in counts.items() if n > 2 * limit]
+    if not wide:
+        exact = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first().asDict()
+        wide = [c for c, n in exact.items() if n > limit]
     if wide:
         raise ValueError(f"too many distinct values for maxBins={limit}: {wide}")
 
@@ -94,7 +98,8 @@ def index_features(train: DataFrame, test: DataFrame, spec: FeatureSpec, max_bin
     """Fitted category indexers and vector assembly.
 
     Categories are counted over both tables, most frequent first, so the rows to score hold no
-    unseen value.
+    unseen value. Missing ones must have been named before (``name_missing``): no bin is kept for them.
+    ``max_bins`` is the smallest number of bins that any forest of a search may have.
     """
     columns = list(spec.categorical)
     both = train.select(*columns).unionByName(test.select(*columns))
@@ -103,13 +108,18 @@ def index_features(train: DataFrame, test: DataFrame, spec: FeatureSpec, max_bin
         inputCols=columns,
         outputCols=[c + "Indexed" for c in columns],
         stringOrderType="frequencyDesc",
-        handleInvalid="keep",
+        handleInvalid="error",
     ).fit(both)
     return PipelineModel(
         stages=[categories, VectorAssembler(inputCols=spec.inputs, outputCol="Features")]
     )
 
 
+def name_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Categories as text, a missing one as the empty text."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in spec.categorical})
+
+
 def index_label(train: DataFrame, spec: FeatureSpec) -> StringIndexerModel:
     """Indexed from the training rows alone and in alphabetical order, so class "1" stays the
     positive one however frequent it is."""
@@ -159,7 +169,8 @@ def classify(
 
     The vectors of the training rows are kept while all forests are grown from them.
     """
-    features = index_features(train, test, spec, max(grid.get("maxBins", [32])))
+    train, test = name_missing(train, spec), name_missing(test, spec)
+    features = index_features(train, test, spec, min(grid.get("maxBins", [32])))
     label = index_label(train, spec)
     vectors = label.transform(features.transform(train))
     vectors = vectors.select(spec.id, spec.label_index, "Features")
@@ -192,7 +203,10 @@ def submit_passengers(
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
     folds: int = DEFAULT_FOLDS,
 ) -> None:
-    """CSV files in, CSV files out."""
+    """CSV files in, CSV files out; both are checked before they are read."""
+    unlabelled = without_fields(PASSENGER_SCHEMA, ["Survived"])
+    require_clean(spark, train_path, PASSENGER_SCHEMA)
+    require_clean(spark, test_path, unlabelled)
     train = read_by_name(spark, train_path, PASSENGER_SCHEMA)
-    test = read_by_name(spark, test_path, without_fields(PASSENGER_SCHEMA, ["Survived"]))
+    test = read_by_name(spark, test_path, unlabelled)
     write_csv(classify_passengers(train, test, grid, folds), out)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankflow.sources.readers import CSV_QUOTES
+
 MALFORMED = "_malformed"
 
 
@@ -18,11 +20,11 @@ def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     ``_malformed`` counts the records with too few or too many fields as unparseable. Columns
     are found by name in the header, or stand in the order of the schema without one.
     """
-    names = spark.read.csv(path, header=True).columns if header else schema.fieldNames()
+    names = spark.read.csv(path, header=True, **CSV_QUOTES).columns if header else schema.fieldNames()
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
     # Whole records must be split to be counted, also where no column of theirs is audited.
     reader = spark.read.schema(text).option("columnPruning", False)
-    raw = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED)
+    raw = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED, **CSV_QUOTES)
     known = [f for f in schema.fields if f.name in names]
     return audit_rows(
         raw,
@@ -32,6 +34,17 @@ def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     )
 
 
+def require_clean(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Refuse a file with records of another width, or with required values missing or unparseable.
+
+    One pass over the file as text; the counts are one row per audited column.
+    """
+    required = {f.name for f in schema.fields if not f.nullable} | {MALFORMED}
+    faults = [tuple(r) for r in audit_csv(spark, path, schema).collect() if r.column in required and (r.missing or r.unparseable)]
+    if faults:
+        raise ValueError(f"{path} holds (column, missing, unparseable): {faults}")
+
+
 def audit_rows(
     df: DataFrame,
     required: Sequence[str] = (),

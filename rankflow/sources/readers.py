@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Shared by every reader, the audit and the writer: a quote inside quotes is doubled.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def _required(value: Column, text: Column, name: str) -> Column:
+    """``value``, or a failed query where it is missing or did not parse."""
+    seen = F.concat(F.lit(f"{name} is required and cannot be read from "), F.coalesce(text.cast("string"), F.lit("nothing")))
+    return F.coalesce(value, F.raise_error(seen))
+
 
 def read_declared(
     spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """CSV with a header, columns bound to ``schema`` in file order."""
-    return spark.read.schema(schema).csv(path, header=True, mode=mode)
+    """CSV with a header, columns bound to ``schema`` in file order.
+
+    A value that does not parse is null, or fails the query where the field must not be null.
+    """
+    rows = spark.read.schema(schema).csv(path, header=True, mode=mode, **CSV_QUOTES)
+    checked = [F.col(f"`{f.name}`") for f in schema.fields]
+    checked = [
+        c if f.nullable else _required(c, F.lit("its place"), f.name).alias(f.name)
+        for c, f in zip(checked, schema.fields)
+    ]
+    return rows.select(*checked)
 
 
 def read_by_name(
@@ -20,11 +38,12 @@ def read_by_name(
     """CSV with a header, columns bound to ``schema`` by header name.
 
     The file may order its columns differently, hold further ones, or lack nullable ones (they
-    come out null). A value that does not parse is null, or fails the query with ``strict``.
+    come out null). A value that does not parse is null, or fails the query with ``strict``; a
+    required one that is missing or does not parse fails it always.
     Files of one folder whose headers differ are refused rather than misread.
     """
-    header = spark.read.csv(path, header=True).schema
-    raw = spark.read.schema(header).csv(path, header=True, enforceSchema=False)
+    header = spark.read.csv(path, header=True, **CSV_QUOTES).schema
+    raw = spark.read.schema(header).csv(path, header=True, enforceSchema=False, **CSV_QUOTES)
     missing = [f.name for f in schema.fields if f.name not in raw.columns and not f.nullable]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
@@ -32,13 +51,13 @@ def read_by_name(
     for field in schema.fields:
         text = F.col(f"`{field.name}`") if field.name in raw.columns else F.lit(None)
         value = text.cast(field.dataType) if strict else text.try_cast(field.dataType)
-        columns.append(value.alias(field.name))
+        columns.append((value if field.nullable else _required(value, text, field.name)).alias(field.name))
     return raw.select(*columns)
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, types found by one pass over the file."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return spark.read.csv(path, header=True, inferSchema=True, **CSV_QUOTES)
 
 
 def read_quoted(
@@ -60,10 +79,9 @@ def read_quoted(
         path,
         header=True,
         inferSchema=schema is None,
-        quote='"',
-        escape='"',
         mode="FAILFAST",
         multiLine=multiline,
+        **CSV_QUOTES,
     )
 
 
@@ -73,18 +91,22 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_list_file(spark: SparkSession, path: str) -> DataFrame:
-    """Header-less ``id,v1 v2 v3`` lines as ``id int, items string, seq``.
+    """Header-less ``id,v1 v2 v3`` lines as ``id bigint, items string, seq``.
 
-    ``seq`` orders the lines as they stand in the files.
+    ``seq`` orders the lines as they stand in the files. An id that does not parse fails the query.
     """
-    lines = spark.read.schema("id int, items string").csv(path)
-    return lines.select("id", "items", _file_order())
+    lines = spark.read.schema("id string, items string").csv(path, **CSV_QUOTES)
+    number = _required(F.col("id").try_cast("bigint"), F.col("id"), "id")
+    return lines.select(number.alias("id"), "items", _file_order())
 
 
 def _file_order():
     # Within one input split the generated id grows from line to line; splits of a file are
     # ordered by where they start. The id alone would not do: Spark packs splits by size.
+    # Part files go by their number: as text, number 100000 would come before 99999.
+    number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint")
     return F.struct(
+        F.coalesce(number, F.lit(-1)).alias("number"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),

@@ -118,3 +118,16 @@ def test_submission(spark, tmp_path):
     back = spark.read.csv(out, header=True)
     assert back.columns == ["PassengerId", "Survived"] and back.count() == 40
     assert {r[0] for r in back.select("Survived").distinct().collect()} == {"0", "1"}
+
+
+@pytest.mark.parametrize(("values", "grid", "fits"), [(25, [25], True), (30, [25, 31], False), (60, [31], False), (26, [25], False)])
+def test_the_smallest_number_of_bins_limits_categories(spark, values, grid, fits):
+    spec = FeatureSpec(id="id", label="label", numeric=("x",), categorical=("c",))
+    rows = [(i, str(i % 2), float(i), None if i % values == 0 else f"v{i % values}") for i in range(4 * values)]
+    train = spark.createDataFrame(rows, "id int, label string, x double, c string")
+    options = {"maxBins": grid, "maxDepth": [2], "impurity": ["gini"]}
+    if fits:
+        assert classify(train, train, spec, options, folds=2).count() == len(rows)
+    else:
+        with pytest.raises(ValueError, match="too many distinct"):
+            classify(train, train, spec, options, folds=2)

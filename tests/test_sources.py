@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.plans import pair_features_from_files, recommend_hotels, submit_hotels, interactions_and_requests
+from rankflow.operators.aggregates import last_write_wins
+from rankflow.plans import pair_features_from_files, score_list_files, recommend_hotels, submit_hotels, interactions_and_requests
 from rankflow.sources import (
     PASSENGER_SCHEMA,
     append_field,
@@ -18,11 +19,13 @@ from rankflow.sources import (
     read_declared,
     read_inferred,
     read_lines,
+    read_list_file,
     read_quoted,
     without_fields,
     write_csv,
     write_parquet,
 )
+from rankflow.sources.audit import require_clean
 from rankflow.sources.workspace import remove_folder, shared_folder, stored
 
 SCHEMA = T.StructType(
@@ -50,14 +53,71 @@ def test_schema_variants():
 
 def test_binding_by_name(spark, tmp_path):
     path = tmp_path / "a.csv"
-    path.write_text('extra,seen,name,id\nz,2014-08-11 07:46:59,"a, b",1\nz,not a time,,x\n')
+    path.write_text('extra,seen,name,id\nz,2014-08-11 07:46:59,"a, b",1\nz,not a time,,2\n')
     first, second = read_by_name(spark, str(path), SCHEMA).collect()
     assert tuple(first) == (1, "a, b", None, datetime.datetime(2014, 8, 11, 7, 46, 59))
-    assert tuple(second) == (None, None, None, None)
+    assert tuple(second) == (2, None, None, None)
     with pytest.raises(Exception):
         read_by_name(spark, str(path), SCHEMA, strict=True).collect()
 
 
+@pytest.mark.parametrize("value", ["xx", ""])
+def test_required_values_that_do_not_parse_fail_the_query(spark, tmp_path, value):
+    (tmp_path / "a.csv").write_text(f"id,name,price,seen\n1,x,,\n{value},y,,\n")
+    for read in (read_by_name, read_declared):
+        with pytest.raises(Exception, match="id is required"):
+            read(spark, str(tmp_path / "a.csv"), SCHEMA).collect()
+
+
+def test_every_reader_gives_back_what_the_writer_wrote(spark, tmp_path):
+    rows = [(3, 'say "hi", ok', 7.5), (4, 'a, "b", "c", d', None), (6, None, 2.0), (7, " x\\", 3.0)]
+    df = spark.createDataFrame(rows, "id int, name string, price double")
+    path = str(tmp_path / "out")
+    write_csv(df, path)
+    for read in (read_by_name, read_declared, read_quoted):
+        assert sorted(map(tuple, read(spark, path, df.schema).collect())) == rows
+    assert sorted(map(tuple, read_inferred(spark, path).collect())) == rows
+    write_csv(spark.createDataFrame([(5, "", 1.0)], df.schema), path)
+    assert read_by_name(spark, path, df.schema).first().name is None
+
+
+def test_microseconds_survive_a_file(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2024-01-01 00:00:07.179575' AS a, TIMESTAMP'2024-01-01 00:00:07.179575' AS b")
+    write_csv(df, str(tmp_path / "out"))
+    assert read_by_name(spark, str(tmp_path / "out"), df.schema).collect() == df.collect()
+
+
+def test_list_ids_and_tokens(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("3000000000,1 2\n3000000001,3\n")
+    (tmp_path / "a.csv").write_text("3000000000,2 1\n3000000001,3\n")
+    score = lambda p: score_list_files(spark, str(tmp_path / p), str(tmp_path / "a.csv")).first()["map"]
+    assert score("p.csv") == 1.0
+    for bad in ("1,x 2\n", "x,1\n", ",1\n"):
+        (tmp_path / "bad.csv").write_text(bad)
+        with pytest.raises(Exception, match="not an integer|id is required"):
+            score("bad.csv")
+
+
+def test_part_files_go_by_number(spark, tmp_path):
+    for number, value in ((99999, 1), (100000, 2), (100001, 3)):
+        (tmp_path / f"part-{number:05d}-x.csv").write_text(f"7,{value}\n")
+    lines = read_list_file(spark, str(tmp_path))
+    assert last_write_wins(lines, "id", ["items"], "seq").first()["items"] == "3"
+
+
+def test_a_sample_whose_writing_broke_off_is_written_again(spark, tmp_path):
+    path = tmp_path / "sample"
+    path.mkdir()
+    assert head_sample(spark.range(50), str(path), ["id"], 3).count() == 3
+    assert head_sample(spark.range(50), str(path), ["id"], 9).count() == 3
+
+
+def test_files_with_required_gaps_are_refused_before_load(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name,price,seen\n1,x,,\n,y,,\n3,z\n")
+    with pytest.raises(ValueError, match="id"):
+        require_clean(spark, str(tmp_path / "a.csv"), SCHEMA)
+
+
 def test_missing_required_column(spark, tmp_path):
     (tmp_path / "a.csv").write_text("name,price\nx,1\n")
     with pytest.raises(ValueError, match="id"):
@@ -72,9 +132,9 @@ def test_files_with_other_headers_are_refused(spark, tmp_path):
 
 
 def test_declared_schema(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id,name,price,seen\n1,x,2.5,2014-01-01 00:00:00\nbad,y,,\n")
+    (tmp_path / "a.csv").write_text("id,name,price,seen\n1,x,2.5,2014-01-01 00:00:00\n2,y,bad,\n")
     rows = read_declared(spark, str(tmp_path / "a.csv"), SCHEMA).collect()
-    assert [(r.id, r.name, r.price) for r in rows] == [(1, "x", 2.5), (None, "y", None)]
+    assert [(r.id, r.name, r.price) for r in rows] == [(1, "x", 2.5), (2, "y", None)]
 
 
 def test_inferred_schema(spark, tmp_path):

@@ -15,6 +15,8 @@ from rankflow.operators import (
     top_k_per_group,
 )
 
+from rankflow.plans import recommend
+
 SCHEMA = "city int, dest string, item int, booked int, recent boolean"
 
 
@@ -113,3 +115,13 @@ def test_key_names_that_the_ranking_adds_are_refused(spark):
     df = spark.createDataFrame([(1, 2)], "rn int, item int")
     with pytest.raises(ValueError, match="rn"):
         rule_candidates(df, [Rule(("rn",))], "item")
+
+
+def test_rows_without_an_item_rank_nothing(spark):
+    rows = [(1, None)] * 9 + [(1, 3), (1, 4), (1, 3), (2, None)]
+    df = spark.createDataFrame(rows, "key int, item int")
+    assert [r.item for r in candidates(df, Rule(("key",)), "item").orderBy("rn").collect()] == [3, 4]
+    assert {r.item for r in rule_candidates(df, [Rule(("key",)), Rule(())], "item").collect()} == {3, 4}
+    assert [r.item for r in popularity(df, "item").collect()] == [3, 4]
+    lists = recommend(df, df.select("key", F.col("key").alias("id")).distinct(), [Rule(("key",))], None, id_col="id", item="item")
+    assert {r.id: r.item for r in lists.collect()} == {1: [3, 4, 3, 4], 2: [3, 4, 3, 4]}
