@@ -35,7 +35,7 @@ from rankflow.operators.topk import (
     popularity,
     rule_candidates as candidates_of_rules,
 )
-from rankflow.plans.classifier import FeatureSpec, classify
+from rankflow.plans.classifier import FeatureSpec, check_categories, classify
 from rankflow.plans.duplicates import pair_features, pair_features_from_files
 from rankflow.plans.evaluation import map_at_k, score_list_files
 from rankflow.plans.recommender import recommend, submit_hotels
@@ -475,6 +475,7 @@ def last_order(spark, sf_dir):
 def string_index(spark, sf_dir):
     """Category numbers as the fitted ML stage assigns them."""
     documents = table(spark, sf_dir, "documents").select("source")
+    check_categories(documents, ["source"], 1000)
     model = StringIndexer(inputCol="source", outputCol="index", stringOrderType="frequencyDesc").fit(documents)
     return model.transform(documents).distinct().select("source", F.col("index").cast("bigint").alias("index"))
 

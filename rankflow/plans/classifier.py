@@ -33,6 +33,10 @@ DEFAULT_GRID = {
 DEFAULT_FOLDS = 10
 
 
+#: Values of a label beyond which an indexer is not fitted.
+MAX_CLASSES = 100
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     """Roles of columns. ``label`` is a string column, known for training rows only."""
@@ -91,7 +95,7 @@ def check_categories(df: DataFrame, columns: Sequence[str], limit: int) -> None:
         exact = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first().asDict()
         wide = [c for c, n in exact.items() if n > limit]
     if wide:
-        raise ValueError(f"too many distinct values for maxBins={limit}: {wide}")
+        raise ValueError(f"too many distinct values for a limit (maxBins or classes) of {limit}: {wide}")
 
 
 def index_features(train: DataFrame, test: DataFrame, spec: FeatureSpec, max_bins: int) -> PipelineModel:
@@ -122,7 +126,8 @@ def name_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 def index_label(train: DataFrame, spec: FeatureSpec) -> StringIndexerModel:
     """Indexed from the training rows alone and in alphabetical order, so class "1" stays the
-    positive one however frequent it is."""
+    positive one however frequent it is. The indexer collects the classes, so their number is checked first."""
+    check_categories(train, [spec.label], MAX_CLASSES)
     return StringIndexer(
         inputCol=spec.label, outputCol=spec.label_index, stringOrderType="alphabetAsc"
     ).fit(train)
