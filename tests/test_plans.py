@@ -87,6 +87,37 @@ def skew(conf):
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
 
 
+@pytest.fixture
+def hot_tables(spark, tmp_path):
+    """The middle tables with one part in two thirds of the lines and one customer in two thirds of the orders."""
+    source = f"{TESTDATA}/sf0.01"
+    for name, key in (("lineitem", "l_partkey"), ("orders", "o_custkey"), ("part", None), ("customer", None)):
+        df = spark.read.parquet(f"{source}/{name}.parquet").repartition(8)
+        if key:
+            hot = F.pmod(F.xxhash64(*df.columns), F.lit(3)) > 0
+            df = df.withColumn(key, F.when(hot, F.lit(1)).otherwise(F.col(key)))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_hot_part_and_customer_are_split(spark, skew, conf, hot_tables):
+    lines = roles.lines_with_items(spark, hot_tables)
+    assert "skew=true" in executed(lines) and lines.count() == 60000
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "5KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8KB")
+    orders = roles.orders_with_roles(spark, hot_tables)
+    assert "skew=true" in executed(orders) and orders.count() == 15000
+    train = roles.training(spark, hot_tables)
+    early = orders.where(roles.before_split()).select("id")
+    assert train.count() == lines.join(early, "id").count()
+
+
+def test_only_lines_of_early_orders_look_up_their_part(spark):
+    plan = roles.training(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "l_partkey" in joins[0] and not any("l_partkey" in j for j in joins[1:])
+
+
 def hot_requests(spark, n=60000):
     """Half of all requests ask for the same place, a sixth for none."""
     place = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 500)
