@@ -8,6 +8,7 @@ therefore keeps the ids of words it has met, and hands the library only new word
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,12 +17,38 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept by a worker (about 100 MB), and bytes of a word that is still kept.
-CACHE_WORDS = 400_000
+#: Words kept by a worker: recurring ones, and ones met once (about 150 MB); bytes of a word that is still kept.
+RECURRING_WORDS, NEW_WORDS = 500_000, 400_000
 CACHED_WORD = 64
 #: A control character that stands between new words handed over in one call.
 _MARK = "\x01"
 _CALL_WORDS = 20_000
+#: Signs that may follow a word and are split from it whatever they are; an apostrophe may belong to a suffix.
+_SIGNS = "".join(c for c in string.punctuation if c != "'")
+
+
+class _Known(dict):
+    """Ids of recurring words. A word met once waits in ``recent`` and is taken in when it comes again."""
+
+    def __init__(self) -> None:
+        super().__init__({"": b""})
+        self.recent: dict[str, bytes] = {}
+        self.new: set[str] = set()
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.recent.get(word)
+        if ids is None:
+            self.new.add(word)
+        else:
+            self[word] = ids
+        return ids
+
+    def forget(self) -> None:
+        if len(self.recent) > NEW_WORDS:
+            self.recent.clear()
+        if len(self) > RECURRING_WORDS:
+            self.clear()
+            self[""] = b""
 
 
 class WordEncoder:
@@ -35,7 +62,13 @@ class WordEncoder:
         self.mark = self._ids(_MARK)
         if len(self.mark) != 1 or self._ids("a b\n c") != self._ids("a") + self._ids("b") + self._ids("c"):
             raise ValueError("this tokenizer does not encode words one by one")
-        self.known: dict[str, bytes] = {"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or "\x00"
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.ends[[number for piece, number in self.tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
+        self.known = _Known()
+        self.signs: dict[str, bytes] = {}
+        # letters and the signs after them are split by the library as well
+        self.splits = self._ids("word.") == self._ids("word") + self._ids(".")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -43,6 +76,11 @@ class WordEncoder:
     def _alone(self, word: str) -> bytes:
         return np.array(self._ids(word), dtype="<u4").tobytes()
 
+    def _store(self, words: list[str], data: bytes, starts: list[int], ends: list[int]) -> None:
+        recent = self.known.recent
+        for word, start, end in zip(words, starts, ends):
+            recent[word] = data[4 * start : 4 * end]
+
     def _learn(self, words: list[str]) -> None:
         for first in range(0, len(words), _CALL_WORDS):
             part = words[first : first + _CALL_WORDS]
@@ -50,25 +88,53 @@ class WordEncoder:
             cuts = np.flatnonzero(ids == self.mark[0]).tolist()
             if len(cuts) != len(part) - 1:
                 raise RuntimeError("words did not stay apart")
-            data, start = ids.tobytes(), 0
-            for word, cut in zip(part, [*cuts, len(ids)]):
-                self.known[word] = data[4 * start : 4 * cut]
-                start = cut + 1
+            self._store(part, ids.tobytes(), [0, *[c + 1 for c in cuts]], [*cuts, len(ids)])
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words of letters alone end at the tokens with the word-end suffix; where the count agrees no mark is needed."""
+        for first in range(0, len(words), _CALL_WORDS):
+            part = words[first : first + _CALL_WORDS]
+            ids = np.array(self._ids(" ".join(part)), dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(part):
+                self._store(part, ids.tobytes(), [0, *stops[:-1]], stops)
+            else:
+                self._learn(part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        known, find = self.known, self.known.__getitem__
         # only blanks and newlines cut; the library sees other white space inside a word
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set().union(*split) - self.known.keys()
-        special = {w: self._alone(w) for w in new if len(w) > CACHED_WORD or _MARK in w}
-        new -= special.keys()
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {"": b""}
-            new = set().union(*split) - special.keys() - {""}
-        self._learn(list(new))
-        known = self.known
-        if special:
-            return [b"".join([special[w] if w in special else known[w] for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+        found = [list(map(find, words)) for words in split]
+        special = {w: self._alone(w) for w in known.new if len(w) > CACHED_WORD or _MARK in w}
+        letters, signed, others = set(), [], []
+        for word in known.new.difference(special):
+            stem = word.rstrip(_SIGNS)
+            if not stem.isalpha() or not self.splits:
+                others.append(word)
+            elif stem == word:
+                letters.add(word)
+            else:
+                signed.append((word, stem))
+        letters.update({stem for _, stem in signed if find(stem) is None})
+        known.new.clear()
+        self._learn_letters(list(letters))
+        self._learn(others)
+        recent = known.recent
+        for word, stem in signed:
+            signs = word[len(stem) :]
+            if signs not in self.signs:
+                self.signs[signs] = self._alone(signs)
+            recent[word] = (known.get(stem) or recent[stem]) + self.signs[signs]
+        recent.update(special)
+        made = [
+            b"".join([(known.get(w) or recent[w]) if ids is None else ids for w, ids in zip(words, parts)] if None in parts else parts)
+            for words, parts in zip(split, found)
+        ]
+        for word in special:
+            del recent[word]
+        known.forget()
+        return made
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

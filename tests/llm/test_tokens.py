@@ -41,10 +41,19 @@ def test_ids_are_those_of_the_library(spark):
     assert got == want
 
 
+def test_every_kind_of_word_in_one_batch():
+    words = [w for t in TEXTS if t for w in t.split(" ")]
+    words += [a + b + c for a in ("", "don't", "Été", "x1", "(word", "İi", "ABC", "ﬁ") for b in ("", ".", "!!", "'", "'s", "_", "<|endoftext|>", "|>", "…") for c in ("", ",", "z")]
+    text = " ".join(words)
+    for encode in (WordEncoder(PATH).encode,) * 2:
+        assert encode(["", text, text]) == [b"", *[np.array(library_ids(text)[:-1], dtype="<u4").tobytes()] * 2]
+
+
 def test_small_cache_gives_the_same(monkeypatch):
-    monkeypatch.setattr(module, "CACHE_WORDS", 5)
+    monkeypatch.setattr(module, "RECURRING_WORDS", 3)
+    monkeypatch.setattr(module, "NEW_WORDS", 2)
     encode = WordEncoder(PATH).encode
-    for text in ("one two three four", "five six seven one", "one two"):
+    for text in ("one two three four", "five six seven one", "one two", "it's x1 ÉTÉ été", "x" * 99 + " \x01 y", "one five"):
         assert encode([text, text + " x"])[0] == np.array(library_ids(text)[:-1], dtype="<u4").tobytes()
 
 
