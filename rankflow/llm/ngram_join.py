@@ -26,7 +26,7 @@ THRESHOLD = 0.8
 RECALL = 0.99
 MAX_HASHES = 640
 #: Classes, and shingles, of a block; a task compares two blocks at a time.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20
 _SEED = 20240917
 
 
