@@ -1,10 +1,11 @@
 """URL filter: rules first, then the ratio of two character models learnt from the URLs that rules decide.
 
 Both models are smoothed variable-order Markov models (Witten-Bell interpolation of contexts of 0 to ``ORDER``
-characters): one of accepted URLs, one of rejected ones. Their log-ratios for all character n-grams go into one
-table of fixed size, a slot for each hash; a slot holds a check value and the ratio. URLs are scored where they
-are read: at each character the longest n-gram in the table counts, and each known context that had
-to be left for a shorter one adds its own ratio. The mean over the characters is compared with a threshold
+characters): one of accepted URLs, one of rejected ones. Their log-ratios for all character n-grams are a table
+keyed by n-gram, which grows with the input. At each character of a URL the longest n-gram in the table counts,
+and each known context that had to be left for a shorter one adds its own ratio. That depends on the last
+``ORDER`` + 1 characters alone, so it is worked out once for each such n-gram, joined to the characters of
+the distinct URLs and summed for each URL. The mean over the characters is compared with a threshold
 that separates best those URLs decided by rules that the models were not shown.
 """
 
@@ -16,12 +17,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import stored
 
 ORDER = 4
 SLOTS = 1 << 18
 _START, _END, _LEFT = "\x02", "\x03", "\x00"
 _FINE = 65536
+#: Parts of a unit in the values of n-grams: whole numbers, so that the order of a sum changes nothing.
+_PARTS = 1 << 30
 #: Bins of a score from -8 to 8 in the calibration.
 _BINS, _REACH = 1600, 8.0
 
@@ -76,11 +80,16 @@ def _padded(text: Column) -> Column:
     return F.concat(F.lit(_START * ORDER), text, F.lit(_END))
 
 
-def _ngrams(texts: DataFrame) -> DataFrame:
-    """gram (``ORDER`` characters and the one that follows), a, b: how often in accepted and in rejected texts."""
+def _places(texts: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and gram (``ORDER`` characters and the one that follows), a row for each character of ``text`` and its end."""
     text = _padded(F.col("text"))
     places = F.sequence(F.lit(1), F.length("text") + 1)
-    rows = texts.select("accepted", F.explode(F.transform(places, lambda i: F.substr(text, i, F.lit(ORDER + 1)))).alias("gram"))
+    return texts.select(*columns, F.explode(F.transform(places, lambda i: F.substr(text, i, F.lit(ORDER + 1)))).alias("gram"))
+
+
+def _ngrams(texts: DataFrame) -> DataFrame:
+    """gram, a, b: how often in accepted and in rejected texts."""
+    rows = _places(texts, "accepted")
     return rows.groupBy("gram").agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("b"))
 
 
@@ -120,6 +129,34 @@ def _ratios(grams: DataFrame) -> DataFrame:
     return grown.unionByName(left)
 
 
+def _gram_values(grams: DataFrame, ratios: DataFrame) -> DataFrame:
+    """gram, value (in ``_PARTS``) of each row of ``grams`` (distinct) of which ``ratios`` holds an ending or a context."""
+    endings = [F.struct(F.lit(k).alias("order"), F.lit(True).alias("grown"), F.right("gram", F.lit(k + 1)).alias("key")) for k in range(ORDER + 1)]
+    context = F.left("gram", F.lit(ORDER))
+    lefts = [
+        F.struct(F.lit(k).alias("order"), F.lit(False).alias("grown"), F.concat(F.right(context, F.lit(k)), F.lit(_LEFT)).alias("key"))
+        for k in range(ORDER + 1)
+    ]
+    wanted = grams.select("gram", F.explode(F.array(*endings, *lefts)).alias("end")).select("gram", "end.*")
+    # short endings are wanted by many n-grams
+    found = join_ranked(wanted, ratios.select("key", "ratio"), ["key"], "inner")
+    steps = found.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("order", "grown", "ratio"))).alias("steps"))
+    value = F.aggregate("steps", F.lit(0.0), lambda total, s: F.when(s["grown"], s["ratio"]).otherwise(total + s["ratio"]))
+    return steps.select("gram", F.round(value * _PARTS).cast("bigint").alias("value"))
+
+
+def score_texts(texts: DataFrame, ratios: DataFrame) -> DataFrame:
+    """id, score of each row of ``texts`` (id and text, both distinct): the mean log-ratio over its characters and its end.
+
+    ``ratios`` are those of :func:`_ratios`, all of them. An n-gram in every URL is a key with as many rows as there are URLs; the
+    join can be split there.
+    """
+    places = _places(texts, "id")
+    valued = join_ranked(places, _gram_values(places.select("gram").distinct(), ratios), ["gram"], "left")
+    total = F.sum(F.coalesce("value", F.lit(0).cast("bigint")))
+    return valued.groupBy("id").agg((total / F.lit(float(_PARTS)) / F.count(F.lit(1))).alias("score"))
+
+
 def _slot(key: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
 
@@ -128,7 +165,7 @@ def url_model(texts: DataFrame, slots: int = SLOTS) -> DataFrame:
     """One row with ``model``: an array of ``slots`` packed (check value, log-ratio) pairs, null where empty.
 
     ``texts`` has text and accepted. Of n-grams with the same slot the most frequent one stays, and the others are
-    scored by shorter ones; with the default size that is a small part of them. The size does not grow with the input.
+    scored by shorter ones. The size does not grow with the input, so :func:`judge_urls` does not use it.
     """
     ratios = _ratios(_ngrams(texts))
     fixed = F.round(F.greatest(F.least("ratio", F.lit(1000.0)), F.lit(-1000.0)) * _FINE).cast("bigint")
@@ -168,10 +205,13 @@ def _scored(rows: DataFrame, model: DataFrame, slots: int) -> DataFrame:
 
 
 def _threshold(scored: DataFrame) -> float:
-    """The score from which accepting is right in most accepted and wrong in most rejected rows, each side weighing half."""
+    """The score from which accepting is right in most accepted and wrong in most rejected rows, each side weighing half.
+
+    ``scored`` has score, a, b: how many accepted and rejected rows have that score.
+    """
     place = F.least(F.greatest(F.floor((F.col("score") + _REACH) / (2 * _REACH) * _BINS), F.lit(0)), F.lit(_BINS - 1))
-    counts = scored.groupBy(place.cast("int").alias("bin"))
-    bins = counts.agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("b")).collect()  # at most _BINS rows
+    counts = scored.where("a + b > 0").groupBy(place.cast("int").alias("bin"))
+    bins = counts.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()  # at most _BINS rows
     a, b = sum(r.a for r in bins), sum(r.b for r in bins)
     if not a or not b:
         return 0.0
@@ -184,9 +224,7 @@ def _threshold(scored: DataFrame) -> float:
     return max(best)[2]
 
 
-def judge_urls(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[UrlRule] = RULES, slots: int = SLOTS
-) -> DataFrame:
+def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[UrlRule] = RULES) -> DataFrame:
     """One row for each row of ``pages``: the id, host, path, rule, verdict (allow or block), score.
 
     The longest rule that fits decides; ``score`` is null there. Of the URLs that rules decide, four fifths (by a hash)
@@ -197,18 +235,20 @@ def judge_urls(
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias("_id"), url_host(url).alias("host"), url_path(url).alias("path"), _spelled(url).alias("text"))
     rows = rows.withColumn("decided", longest_rule(F.col("host"), F.col("path"), rules))
-    known = rows.where(F.col("decided").isNotNull()).select("text", (F.col("decided.verdict") == "allow").alias("accepted"))
+    rows = rows.withColumn("accepted", F.col("decided.verdict") == "allow")
     apart = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 4
-    model = stored(url_model(known.where(~apart), slots), "url-model")
-    threshold = _threshold(_scored(known.where(apart), model, slots))
-    decided = F.col("decided.verdict")
-    # texts of decided rows are left out, so that they cost nothing
-    judged = _scored(rows.withColumn("text", F.when(decided.isNull(), F.col("text"))), model, slots)
-    return judged.select(
-        F.col("_id").alias(id_col),
-        "host",
-        "path",
-        "decided.rule",
-        F.when(decided.isNotNull(), decided).when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block")).alias("verdict"),
-        "score",
-    )
+    ratios = _ratios(_ngrams(rows.where(F.col("accepted").isNotNull() & ~apart)))
+
+    # each text once: those without a rule, and those that set the threshold, with their numbers of rows
+    texts = rows.where(F.col("accepted").isNull() | apart).groupBy("text")
+    texts = texts.agg(F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("b"))
+    texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "url-texts")
+    scored = stored(texts.join(score_texts(texts, ratios), "id").select("text", "a", "b", "score"), "url-scores")
+    threshold = _threshold(scored)
+
+    by_rule = rows.where(F.col("accepted").isNotNull()).select("_id", "host", "path", "decided.rule", "decided.verdict", F.lit(None).cast("double").alias("score"))
+    open_rows = rows.where(F.col("accepted").isNull()).select("_id", "host", "path", "text")
+    verdict = F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block"))
+    by_score = join_ranked(open_rows, scored.select("text", "score"), ["text"], "inner")
+    by_score = by_score.select("_id", "host", "path", F.lit(None).cast("string").alias("rule"), verdict.alias("verdict"), "score")
+    return by_rule.unionByName(by_score).withColumnRenamed("_id", id_col)

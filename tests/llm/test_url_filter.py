@@ -1,6 +1,7 @@
 import math
 import re
 from collections import Counter, defaultdict
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,26 @@ def test_method_follows_the_rules_on_undecided_hosts(spark):
     assert by["de"]["block"] > by["de"]["allow"] and by["fr"]["allow"] > by["fr"]["block"]
     spelled = pages.select(_spelled(F.col("url")).alias("t")).first().t
     assert "://" not in spelled
+
+
+def test_every_ngram_counts_beyond_any_table_size(spark):
+    """More than 2^18 n-grams and contexts: scores are those of all of them, also on hosts that share all their n-grams."""
+    random = Random(5)
+
+    def word(n):
+        return "".join(random.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+
+    names = [(word(12), word(16)) for _ in range(6000)]
+    decided = [f"{host}.org/{path}" if i % 2 else f"{host}.com/de/{path}" for i, (host, path) in enumerate(names)]
+    asked = [f"{host}.net/{path}" for host, path in names[:6]] + ["", "ÿé.net/"]
+    urls = [f"http://{t}" for t in decided + asked * 2]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+
+    texts = pages.where(F.col("page_id") < len(decided)).select(_spelled(F.col("url")).alias("text"))
+    train = [(r.text, ".org/" in r.text) for r in texts.where("pmod(xxhash64(text, 1), 5) <> 4").collect()]
+    assert _ratios(_ngrams(spark.createDataFrame(train, "text string, accepted boolean"))).count() > 1 << 18
+    scores = {r.page_id: r.score for r in judge_urls(pages).where("rule is null").collect()}
+    assert len(scores) == 2 * len(asked)
+    for i, text in enumerate(asked):
+        first = len(decided) + i
+        assert scores[first] == scores[first + len(asked)] == pytest.approx(brute_ratio(text, train), abs=1e-6)
