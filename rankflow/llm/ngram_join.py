@@ -23,8 +23,8 @@ from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import stored
 
 THRESHOLD = 0.8
-RECALL = 0.99
-MAX_HASHES = 640
+RECALL = 0.9999
+MAX_HASHES = 1152
 #: Classes, and shingles, of a block; a task compares two blocks at a time.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20
 _SEED = 20240917
