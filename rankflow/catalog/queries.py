@@ -498,14 +498,13 @@ def auc_ranksum(spark, sf_dir):
 
 @_register
 def rf_predict(spark, sf_dir):
-    """A forest grown from the labelled documents labels the others."""
+    """A forest grown from the labelled documents labels the others. Whole grid and folds."""
     spec = FeatureSpec(id="doc_id", label="label", numeric=("n_chars",), categorical=("lang", "source"))
     columns = ["doc_id", "n_chars", "lang", "source"]
     train = _labelled(spark, sf_dir).select(*columns, F.col("quality").cast("string").alias("label"))
     labels = table(spark, sf_dir, "labels")
     test = table(spark, sf_dir, "documents").select(*columns).join(labels, "doc_id", "left_anti")
-    grid = {"maxBins": [31], "maxDepth": [4, 6], "impurity": ["entropy", "gini"]}
-    scored = classify(train, test, spec, grid, folds=3)
+    scored = classify(train, test, spec)
     return scored.select("doc_id", F.col("predictedLabel").alias("quality"))
 
 

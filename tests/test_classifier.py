@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankflow.catalog import queries
 from rankflow.operators import rank_sum_auc
 from rankflow.plans import (
     DEFAULT_GRID,
@@ -20,6 +21,7 @@ from rankflow.plans import (
 )
 from rankflow.plans.classifier import DEFAULT_FOLDS, check_categories
 from rankflow.sources import PASSENGER_SCHEMA, without_fields
+from tests.conftest import TESTDATA
 
 SMALL_GRID = {"maxBins": [25], "maxDepth": [2, 4], "impurity": ["gini"]}
 TEST_SCHEMA = without_fields(PASSENGER_SCHEMA, ["Survived"])
@@ -131,3 +133,15 @@ def test_the_smallest_number_of_bins_limits_categories(spark, values, grid, fits
     else:
         with pytest.raises(ValueError, match="too many distinct"):
             classify(train, train, spec, options, folds=2)
+
+
+def test_forest_on_real_labels_searches_the_whole_grid(spark, monkeypatch):
+    called = []
+
+    def search(train, test, spec, grid=DEFAULT_GRID, folds=DEFAULT_FOLDS):
+        called.append((grid, folds))
+        return test.withColumn("predictedLabel", F.lit("1"))
+
+    monkeypatch.setattr(queries, "classify", search)
+    queries.rf_predict(spark, f"{TESTDATA}/sf0.001")
+    assert called == [(DEFAULT_GRID, DEFAULT_FOLDS)]
