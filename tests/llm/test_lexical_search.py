@@ -1,0 +1,87 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from rankflow.llm.lexical_search import search
+from tests.conftest import TESTDATA
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def expected(docs, items, k=10):
+    """(item id, rank, document id, score) of (id, text) pairs."""
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c, sum(c.values())) for i, c in held if c]
+    n_docs, words = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        asked, scores = Counter(terms(text)), []
+        for doc, counts, n in held:
+            m = 100 - 75 + (75 * n * n_docs) // words
+            score = 0
+            for t, repeats in asked.items():
+                if t in counts:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    score += repeats * w * ((1_000_000_000 * counts[t]) // (1000 * counts[t] + 8 * m))
+            if score > 0:
+                scores.append((-score, doc is not None, doc or 0, doc))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scores, key=lambda s: s[:3])[:k], start=1)]
+    return sorted(out, key=str)
+
+
+LONG = "x" * 200
+DOCS = [
+    (1, "The cat sat on the mat."), (2, "the CAT; the dog, the end"), (3, None), (4, ""), (5, "... !!"), (None, "cat and dog"), (None, None),
+    (7, "Straße ÉCOLE école\x00cat\ttab"), (8, LONG + " cat"), (9, LONG + "y cat"), (10, LONG[:-1]), (11, "cat " * 5000), (12, "cat dog"), (13, "cat dog"),
+    (13, "cat dog"), (14, "a-b_c a b c ab"), (15, "word " * 20_000 + "needle"), (16, LONG + " " + LONG), (17, "中文 文本 cat"), (18, "cat"),
+]
+ITEMS = [
+    (1, "cat"), (2, "the cat the dog"), (3, None), (4, ""), (5, "unknown words"), (6, LONG), (7, LONG + "y and " + LONG), (None, "école STRASSE straße"),
+    (1, "dog dog dog cat"), (8, "a b c ab"), (9, "needle"), (10, "中文"), (11, "?!"), (12, "x" * 128),
+]
+
+
+def tables(spark, docs=DOCS, items=ITEMS):
+    docs = [(i, t, "rank", 1, 2) for i, t in docs]
+    items = [(i, t, "asked", 1.0) for i, t in items]
+    return (
+        spark.createDataFrame(docs, "doc_id bigint, text string, item_id string, score int, n int").repartition(3),
+        spark.createDataFrame(items, "item_id bigint, text string, asked string, score double"),
+    )
+
+
+def found(docs, items, **sizes):
+    return sorted(map(tuple, search(docs, items, **sizes).select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"automaton_chars": 60}, {"block_items": 3, "block_pairs": 5}, {"automaton_chars": 100, "block_pairs": 4}])
+def test_odd_rows_against_brute_force(spark, sizes):
+    assert found(*tables(spark), **sizes) == expected(DOCS, ITEMS)
+
+
+def test_ties_and_fewer_than_k(spark):
+    docs = [(i, "same words here") for i in range(30, 0, -1)] + [(99, "other")]
+    items = [(1, "same"), (2, "other"), (3, "none")]
+    assert found(*tables(spark, docs, items), k=4) == expected(docs, items, 4)
+    assert [r[2] for r in found(*tables(spark, docs, items), k=4) if r[0] == 1] == [1, 2, 3, 4]
+
+
+def test_supplied_tables_in_several_blocks(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    items = spark.read.parquet(f"{TESTDATA}/sf0.001/benchmark.parquet")
+    want = expected([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert found(docs.repartition(7), items, automaton_chars=3000, block_items=15) == want and len(want) == 400
+
+
+def test_empty_tables(spark):
+    assert found(*tables(spark, [], ITEMS)) == []
+    assert found(*tables(spark, DOCS, [])) == []
+    assert found(*tables(spark, [(1, None)], [(1, None)])) == []
