@@ -25,24 +25,28 @@ from rankflow.operators.cascade import (
     ordered_lists as lists_of,
     rank_step,
     rerank_matched,
+    union_rerank as rerank_union,
+    unmatched_ids as ids_outside,
 )
-from rankflow.operators.ordering import category_index as number_categories, rank_sum_auc
+from rankflow.operators.ordering import category_index as number_categories, label_order as order_by_label, rank_sum_auc
 from rankflow.operators.pairs import clean_item_info
 from rankflow.operators.topk import (
+    Rule,
     candidates,
+    global_list,
     popular_items,
-    popular_list,
     popularity,
     rule_candidates as candidates_of_rules,
 )
-from rankflow.plans.classifier import FeatureSpec, check_categories, classify
+from rankflow.plans.classifier import FeatureSpec, check_categories, classify, submit_passengers
 from rankflow.plans.duplicates import pair_features, pair_features_from_files
 from rankflow.plans.evaluation import map_at_k, score_list_files
 from rankflow.plans.recommender import recommend, submit_hotels
-from rankflow.sources.audit import audit_csv
+from rankflow.sources.audit import audit_csv, split_faulty
 from rankflow.sources.readers import (
     read_by_name,
     read_declared,
+    inferred_types,
     read_inferred,
     read_lines,
     read_list_file,
@@ -50,7 +54,7 @@ from rankflow.sources.readers import (
 )
 from rankflow.sources.schemas import append_field, interaction_schema, prepend_field, without_fields
 from rankflow.sources.sinks import head_sample as stored_head, write_csv, write_parquet
-from rankflow.sources.workspace import new_folder, stored
+from rankflow.sources.workspace import new_folder, stored, tidy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,7 +64,7 @@ BEYOND_INT = 3_000_000_000
 
 
 def _register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__] = tidy(query)
     return query
 
 
@@ -111,18 +115,18 @@ def _rule_hits(spark, sf_dir, number):
 
 
 def _matched(spark, sf_dir):
-    """Matches of all rules from one scan of the training rows; requests without any keep a row without a rank."""
-    train, requests = roles.training_and_requests(spark, sf_dir)
-    ranked = candidates_of_rules(train, roles.rules(), ITEM)
-    return match_rules(requests, ranked, roles.rules(), ID, ITEM)
-
+    """Matches of all rules, and the global list, from one ranking of the training rows.
 
-def _top_items(spark, sf_dir):
-    return popular_list(roles.training(spark, sf_dir), ITEM, roles.popular_weight())
+    The global list is rule 0. Requests without any match keep a row without a rank.
+    """
+    train, requests = roles.training_and_requests(spark, sf_dir)
+    ranked = candidates_of_rules(train, [Rule((), roles.popular_weight()), *roles.rules()], ITEM, first_number=0)
+    return match_rules(requests, ranked, roles.rules(), ID, ITEM), global_list(ranked, ITEM)
 
 
 def _reranked(spark, sf_dir):
-    return rerank_matched(_matched(spark, sf_dir), ID, ITEM, _top_items(spark, sf_dir))
+    matched, top_items = _matched(spark, sf_dir)
+    return rerank_matched(matched, ID, ITEM, top_items), top_items
 
 
 @_register
@@ -142,24 +146,39 @@ def join_rule3(spark, sf_dir):
 
 @_register
 def unmatched_ids(spark, sf_dir):
-    return ids_without_match(_matched(spark, sf_dir), ID)
+    return ids_without_match(_matched(spark, sf_dir)[0], ID)
+
+
+@_register
+def ids_in_no_part(spark, sf_dir):
+    """A set difference over tables of their own: documents without a label and without a page of their number."""
+    labels, pages = (table(spark, sf_dir, n) for n in ("labels", "pages"))
+    return ids_outside(table(spark, sf_dir, "documents"), "doc_id", labels, pages.select(F.col("page_id").alias("doc_id")))
+
+
+@_register
+def rerank_parts(spark, sf_dir):
+    """The matches of each rule by itself, united and numbered again."""
+    parts = [_rule_hits(spark, sf_dir, number).withColumn("rn", F.col("rn").cast("bigint")) for number in (1, 2, 3)]
+    return rerank_union(parts, ID, ITEM)
 
 
 @_register
 def remainder_fill(spark, sf_dir):
-    ids = ids_without_match(_matched(spark, sf_dir), ID)
-    return fill_remainder(ids, ID, ITEM, _top_items(spark, sf_dir))
+    matched, top_items = _matched(spark, sf_dir)
+    return fill_remainder(ids_without_match(matched, ID), ID, ITEM, top_items)
 
 
 @_register
 def union_rerank(spark, sf_dir):
-    return _reranked(spark, sf_dir)
+    return _reranked(spark, sf_dir)[0]
 
 
 @_register
 def ordered_lists(spark, sf_dir):
     """The lists built step by step, one operator after the other."""
-    lists = lists_of(_reranked(spark, sf_dir), ID, ITEM, _top_items(spark, sf_dir))
+    ranked, top_items = _reranked(spark, sf_dir)
+    lists = lists_of(ranked, ID, ITEM, top_items)
     return lists.select(ID, join_items(ITEM).alias("items")).orderBy(ID)
 
 
@@ -523,6 +542,58 @@ def forest_rule(spark, sf_dir):
     return read_by_name(spark, path, schema)
 
 
+@_register
+def label_order(spark, sf_dir):
+    """Names of parts by the share of their lines that came back."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.when(F.col("l_returnflag") == "A", 1).otherwise(0).alias("back"))
+    named = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    return order_by_label(named, "p_name", "back")
+
+
+@_register
+def wide_forest(spark, sf_dir):
+    """A label that only the customer's number tells, a category with thousands of values. Whole grid and folds."""
+    spec = FeatureSpec(id="o_orderkey", label="label", numeric=("o_totalprice",), categorical=(), wide=("o_custkey",))
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").alias("order_date"))
+    label = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "1").otherwise("0").alias("label")
+    rows = orders.join(customer, "o_custkey").select(*orders.columns, label)
+    scored = classify(rows.where(roles.before_split()), rows.where(~roles.before_split()).drop("label"), spec)
+    return scored.select("o_orderkey", F.col("predictedLabel").alias("label"))
+
+
+@_register
+def passenger_files(spark, sf_dir):
+    """The passenger flow from CSV to CSV: customers in its layout, those with a small balance are known."""
+    customer = table(spark, sf_dir, "customer")
+    survives = F.col("c_nationkey") % 2 == 0
+
+    def layout(df, *left_out):
+        columns = {
+            "PassengerId": F.col("c_custkey"),
+            "Survived": F.when(survives, 1).otherwise(0),
+            "Pclass": F.when(survives, 1).otherwise(3),
+            "Name": F.concat(F.lit("of the "), "c_mktsegment", F.when(survives, ", Miss. Ann").otherwise(", Mr. Bob")),
+            "Sex": F.when(survives, "female").otherwise("male"),
+            "Age": F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey") + 20.5),
+            "SibSp": F.when(survives, 2).otherwise(0),
+            "Parch": F.when(survives, 1).otherwise(0),
+            "Ticket": F.col("c_name"),
+            "Fare": F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") % 100),
+            "Cabin": F.lit(None).cast("string"),
+            "Embarked": F.when(survives, "C"),
+        }
+        return df.select(*[c.alias(n) for n, c in columns.items() if n not in left_out])
+
+    known = F.col("c_acctbal") < 5000
+    train_path, test_path, out = (new_folder(spark, n) for n in ("passengers-train", "passengers-test", "passengers-out"))
+    write_csv(layout(customer.where(known)), train_path)
+    write_csv(layout(customer.where(~known), "Survived"), test_path)
+    submit_passengers(spark, train_path, test_path, out)
+    result = T.StructType([T.StructField("PassengerId", T.IntegerType(), False), T.StructField("Survived", T.StringType())])
+    return read_by_name(spark, out, result)
+
+
 # --- sources and sinks -----------------------------------------------------------------------
 
 
@@ -594,9 +665,20 @@ def csv_events_declared(spark, sf_dir):
 
 @_register
 def csv_events_inferred(spark, sf_dir):
-    path, schema = _event_files(spark, sf_dir)
-    found = read_inferred(spark, path)
-    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Types as found, not as known: whole numbers that fit are ``int``."""
+    return read_inferred(spark, _event_files(spark, sf_dir)[0])
+
+
+@_register
+def csv_types(spark, sf_dir):
+    """The types found in the events, part of which have another type in two columns."""
+    events = table(spark, sf_dir, "events")
+    early = F.col("event_type") < "m"
+    path = new_folder(spark, "csv")
+    write_csv(events.where(early).select("event_id", F.col("user_id").cast("double"), "ts", "event_type"), path, mode="append")
+    write_csv(events.where(~early).select((F.col("event_id") + BEYOND_INT).alias("event_id"), "user_id", F.col("ts").cast("date"), "event_type"), path, mode="append")
+    found = inferred_types(spark, path)
+    return found.select("column", "type", F.array_join("by_source", ",").alias("by_file"))
 
 
 @_register
@@ -637,3 +719,39 @@ def row_audit(spark, sf_dir):
         ]
     )
     return audit_csv(spark, path, schema, header=False)
+
+
+def _split_orders(spark, sf_dir):
+    """The two parts of orders as unquoted text, see ``row_audit``, with their keys."""
+    path = new_folder(spark, "audit")
+    line = F.concat_ws(
+        ",",
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.regexp_extract("o_orderpriority", "^[123]-(.*)$", 1),
+        "o_orderstatus",
+        F.translate("o_orderpriority", " ", ","),
+    )
+    table(spark, sf_dir, "orders").select(line).write.text(path)
+    schema = T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType(), False),
+            T.StructField("day", T.DateType(), False),
+            T.StructField("code", T.StringType(), False),
+            T.StructField("status", T.IntegerType()),
+            T.StructField("priority", T.StringType()),
+        ]
+    )
+    return split_faulty(spark, path, schema, header=False)
+
+
+@_register
+def rejected_rows(spark, sf_dir):
+    """Each fault of each record; those of columns that may be null leave the record in use."""
+    faults = _split_orders(spark, sf_dir)[1]
+    return faults.select("column", "value", "reason", "kept", "row.o_orderkey")
+
+
+@_register
+def accepted_rows(spark, sf_dir):
+    return _split_orders(spark, sf_dir)[0]

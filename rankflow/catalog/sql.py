@@ -153,6 +153,19 @@ unique_predictions AS (
 
 _EVENTS = "SELECT * REPLACE (props || ', \"x\", y' AS props) FROM events"
 
+_AUDITED = """
+WITH lines AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+         CASE WHEN substr(o_orderpriority, 1, 2) IN ('1-', '2-', '3-') THEN substr(o_orderpriority, 3) END AS code,
+         o_orderstatus AS status, replace(o_orderpriority, ' ', ',') AS priority,
+         length(o_orderpriority) - length(replace(o_orderpriority, ' ', '')) AS commas,
+         concat_ws(',', o_orderkey, strftime(o_orderdate, '%Y-%m-%d'),
+                   CASE WHEN substr(o_orderpriority, 1, 2) IN ('1-', '2-', '3-') THEN substr(o_orderpriority, 3) ELSE '' END,
+                   o_orderstatus, replace(o_orderpriority, ' ', ',')) AS line
+  FROM orders
+)
+"""
+
 ORACLES: dict[str, str] = {
     "weighted_popularity": f"WITH {_ROLES} {_POPULAR.format(source='lines')}",
     "global_top5": f"WITH {_ROLES} {_POPULAR.format(source='lines')} LIMIT 5",
@@ -339,7 +352,58 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal,
 """,
     "csv_events": _EVENTS,
     "csv_events_declared": _EVENTS,
-    "csv_events_inferred": _EVENTS,
+    "csv_events_inferred": """
+SELECT CAST(event_id AS INTEGER) AS event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type, value,
+       props || ', "x", y' AS props
+FROM events
+""",
+    "csv_types": """
+SELECT * FROM (
+  VALUES ('event_id', 'bigint', 'bigint,int'), ('user_id', 'double', 'double,int'),
+         ('ts', 'timestamp_ntz', 'date,timestamp_ntz'), ('event_type', 'string', '')
+) found("column", "type", by_file)
+WHERE (SELECT count(DISTINCT event_type < 'm') FROM events) = 2
+""",
+    "rejected_rows": f"""
+{_AUDITED}
+SELECT 'code' AS "column", NULL AS value, 'missing' AS reason, FALSE AS kept, o_orderkey FROM lines WHERE code IS NULL
+UNION ALL
+SELECT 'status', status, 'unparseable', code IS NOT NULL AND commas = 0, o_orderkey FROM lines
+UNION ALL
+SELECT '_malformed', line, 'wrong number of fields', FALSE, o_orderkey FROM lines WHERE commas > 0
+""",
+    "accepted_rows": f"""
+{_AUDITED}
+SELECT o_orderkey, day, code, CAST(NULL AS INTEGER) AS status, priority FROM lines WHERE code IS NOT NULL AND commas = 0
+""",
+    "passenger_files": """
+SELECT CAST(c_custkey AS INTEGER) AS "PassengerId", CASE WHEN c_nationkey % 2 = 0 THEN '1' ELSE '0' END AS "Survived"
+FROM customer WHERE c_acctbal >= 5000
+""",
+    "label_order": """
+WITH means AS (
+  SELECT p_name, count(*) AS n, CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS mean
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name
+)
+SELECT p_name, n, mean, dense_rank() OVER (ORDER BY mean) - 1 AS "order" FROM means
+""",
+    "wide_forest": """
+WITH early AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01')
+SELECT o_orderkey, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND e.o_custkey IS NOT NULL THEN '1' ELSE '0' END AS label
+FROM orders o JOIN customer ON o.o_custkey = c_custkey LEFT JOIN early e ON o.o_custkey = e.o_custkey
+WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+""",
+    "ids_in_no_part": """
+SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels EXCEPT SELECT page_id FROM pages
+""",
+    "rerank_parts": f"""
+{_CASCADE},
+parts AS (SELECT * FROM hits1 UNION ALL SELECT * FROM hits2 UNION ALL SELECT * FROM hits3),
+numbered AS (
+  SELECT id, item, rn, CAST(row_number() OVER (PARTITION BY id ORDER BY rn, item) AS INTEGER) AS rn_all FROM parts
+)
+SELECT id, item, CAST(rn AS BIGINT) AS rn, rn_all FROM numbered WHERE rn_all <= 5
+""",
     "csv_quoted": "SELECT * FROM documents",
     "parquet_roundtrip": "SELECT * FROM lineitem",
     "row_audit": """

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import ensure_checkpoint_dir
 
 
@@ -47,6 +48,24 @@ def category_index(df: DataFrame, col: str, index_col: str = "index") -> DataFra
     return numbered.select(col, F.col(index_col).cast("bigint").alias(index_col))
 
 
+def label_order(df: DataFrame, col: str, label: str, order_col: str = "order") -> DataFrame:
+    """``col``, n, mean (of ``label``, 0 or 1) and ``order_col``: categories numbered from 0 by rising mean, alike for equal ones.
+
+    For two classes the best split of a tree on a category is one place in this order, so a category with any number of
+    values serves as one ordered feature. Null is a category like others.
+    """
+    means = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"), (F.sum(F.col(label).cast("double")) / F.count(F.lit(1))).alias("mean"))
+    numbered = running_total(means.select("mean").distinct().withColumn("_one", F.lit(1)), [F.asc("mean")], "_one", order_col)
+    return join_ranked(means, numbered.select("mean", F.col(order_col).cast("bigint").alias(order_col)), ["mean"], "inner")
+
+
+def with_label_order(df: DataFrame, col: str, orders: DataFrame, order_col: str) -> DataFrame:
+    """``df`` with the number of its category from ``label_order``, -1 where training rows did not hold it."""
+    places = orders.select(F.col(col).alias("_category"), order_col)
+    joined = join_ranked(df.withColumn("_category", F.col(col)), places, ["_category"], "left").drop("_category")
+    return joined.withColumn(order_col, F.coalesce(F.col(order_col), F.lit(-1)).cast("double"))
+
+
 def rank_sum_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row with the exact area under the ROC curve, ties counted half; null for one class only.
 

@@ -161,6 +161,16 @@ def rule_candidates(
     return _ranked_by_rule(train, rules, item, k, first_number).drop("_key")
 
 
+def global_list(ranked: DataFrame, item: str) -> Column:
+    """Items of rule 0 (one without keys) of ``rule_candidates`` as an array constant, best first; empty without rows.
+
+    Rule 0 is picked inside the aggregate and not by a filter: a filter would sink to the scan, and the subquery
+    could no longer reuse the shuffled candidates of the plan that it stands in.
+    """
+    pair = F.when(F.col("rule") == 0, F.struct("rn", F.col(item).alias("item")))
+    return ranked.agg(F.sort_array(F.collect_list(pair))["item"].alias("best")).scalar()
+
+
 def rule_lists(
     train: DataFrame, rules: Sequence[Rule], item: str, k: int = 5, first_number: int = 1
 ) -> DataFrame:

@@ -6,19 +6,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.columns import with_default
 from rankflow.functions.titles import family_size, passenger_title
 from rankflow.operators.aggregates import impute_joint_mean
-from rankflow.sources.audit import require_clean
-from rankflow.sources.readers import read_by_name
+from rankflow.operators.ordering import label_order, with_label_order
+from rankflow.sources.audit import read_clean
 from rankflow.sources.schemas import PASSENGER_SCHEMA, without_fields
 from rankflow.sources.sinks import write_csv
 
@@ -32,6 +32,8 @@ DEFAULT_GRID = {
 }
 DEFAULT_FOLDS = 10
 
+#: Rows of a partition while forests are grown; a fit of fewer rows is one task at a time.
+ROWS_PER_TASK = 50_000
 
 #: Values of a label beyond which an indexer is not fitted.
 MAX_CLASSES = 100
@@ -45,6 +47,8 @@ class FeatureSpec:
     label: str
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
+    #: Categories with more values than a tree can bin: ordered by the mean label of the training rows.
+    wide: tuple[str, ...] = ()
 
     @property
     def label_index(self) -> str:
@@ -52,7 +56,7 @@ class FeatureSpec:
 
     @property
     def inputs(self) -> list[str]:
-        return [*self.numeric, *[c + "Indexed" for c in self.categorical]]
+        return [*self.numeric, *[c + "Indexed" for c in self.categorical], *[c + "Order" for c in self.wide]]
 
 
 # The feature columns in the order of the vector, and the port that stands in
@@ -106,6 +110,9 @@ def index_features(train: DataFrame, test: DataFrame, spec: FeatureSpec, max_bin
     ``max_bins`` is the smallest number of bins that any forest of a search may have.
     """
     columns = list(spec.categorical)
+    vector = VectorAssembler(inputCols=spec.inputs, outputCol="Features")
+    if not columns:
+        return PipelineModel(stages=[vector])
     both = train.select(*columns).unionByName(test.select(*columns))
     check_categories(both, columns, max_bins)
     categories = StringIndexer(
@@ -115,13 +122,13 @@ def index_features(train: DataFrame, test: DataFrame, spec: FeatureSpec, max_bin
         handleInvalid="error",
     ).fit(both)
     return PipelineModel(
-        stages=[categories, VectorAssembler(inputCols=spec.inputs, outputCol="Features")]
+        stages=[categories, vector]
     )
 
 
 def name_missing(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Categories as text, a missing one as the empty text."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in spec.categorical})
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*spec.categorical, *spec.wide)})
 
 
 def index_label(train: DataFrame, spec: FeatureSpec) -> StringIndexerModel:
@@ -133,34 +140,70 @@ def index_label(train: DataFrame, spec: FeatureSpec) -> StringIndexerModel:
     ).fit(train)
 
 
+@dataclass(frozen=True)
+class GridSearch:
+    """What a search found: the mean metric of each point of the grid, and the forest grown with the best one on all rows."""
+
+    points: list[dict]
+    avgMetrics: list[float]
+    best: RandomForestClassificationModel
+
+    @property
+    def best_point(self) -> dict:
+        return self.points[self.avgMetrics.index(max(self.avgMetrics))]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.best.transform(df)
+
+
+def fold_table(data: DataFrame, label_col: str, fold_of: str, folds: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """label, Features, fold of all rows, in partitions of about ``rows_per_task``.
+
+    The fold is a hash of ``fold_of``, and so are partition and place in it: a row keeps them when a lost task runs again.
+    """
+    mark = F.xxhash64(fold_of)
+    parts = max(1, -(-data.count() // rows_per_task))
+    rows = data.select(label_col, "Features", F.pmod(mark, F.lit(folds)).cast("int").alias("fold"), mark.alias("_mark"))
+    return rows.repartition(parts, "_mark").sortWithinPartitions("_mark").drop("_mark")
+
+
 def fit_cross_validated(
     data: DataFrame,
     label_col: str,
     fold_of: str,
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
     folds: int = DEFAULT_FOLDS,
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Forest with the best mean area under ROC over the folds, refitted on all rows.
+    parallelism: int | None = None,
+) -> GridSearch:
+    """Forest with the best mean area under ROC over the folds (the first of equal ones), refitted on all rows.
 
-    The fold is a hash of ``fold_of``: a row keeps its fold when a lost task runs again.
+    One kept table serves all fits. As many run at once as the cores have room for, when each takes a core for every
+    partition. The search runs inside the JVM: wrapping a forest in Python object by object takes longer than growing a small
+    one. Folds without rows are left out.
     """
     forest = RandomForestClassifier(labelCol=label_col, featuresCol="Features", seed=SEED)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(forest.getParam(name), list(values))
-    evaluator = BinaryClassificationEvaluator(labelCol=label_col, numBins=0)
-    search = CrossValidator(
-        estimator=Pipeline(stages=[forest]),
-        estimatorParamMaps=builder.build(),
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        seed=SEED,
-        parallelism=parallelism,
-    )
-    fold = F.pmod(F.xxhash64(fold_of), F.lit(folds)).cast("int")
-    return search.fit(data.select(label_col, "Features", fold.alias("fold")))
+    points = builder.build()
+    rows = fold_table(data, label_col, fold_of, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        used = [r.fold for r in rows.select("fold").distinct().orderBy("fold").collect()]  # at most ``folds``
+        dense = F.array_position(F.array(*[F.lit(f) for f in used]), F.col("fold")) - 1
+        search = CrossValidator(
+            estimator=forest,
+            estimatorParamMaps=points,
+            evaluator=BinaryClassificationEvaluator(labelCol=label_col, numBins=0),
+            numFolds=len(used),
+            foldCol="fold",
+            seed=SEED,
+            parallelism=parallelism or max(1, rows.sparkSession.sparkContext.defaultParallelism // rows.rdd.getNumPartitions()),
+        )
+        found = search._to_java().fit(rows.withColumn("fold", dense.cast("int"))._jdf)
+    finally:
+        rows.unpersist()
+    best = RandomForestClassificationModel._from_java(found.bestModel())
+    return GridSearch([{p.name: v for p, v in point.items()} for point in points], list(found.avgMetrics()), best)
 
 
 def classify(
@@ -172,18 +215,17 @@ def classify(
 ) -> DataFrame:
     """``test`` with its feature columns indexed and ``predictedLabel`` added.
 
-    The vectors of the training rows are kept while all forests are grown from them.
+    Wide categories need a label of two classes; they are numbered in a table and joined, so any number of values will do.
     """
     train, test = name_missing(train, spec), name_missing(test, spec)
-    features = index_features(train, test, spec, min(grid.get("maxBins", [32])))
     label = index_label(train, spec)
-    vectors = label.transform(features.transform(train))
-    vectors = vectors.select(spec.id, spec.label_index, "Features")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_cross_validated(vectors, spec.label_index, spec.id, grid, folds)
-    finally:
-        vectors.unpersist()
+    train = label.transform(train)
+    for column in spec.wide:
+        orders = label_order(train, column, spec.label_index, column + "Order")
+        train, test = (with_label_order(df, column, orders, column + "Order") for df in (train, test))
+    features = index_features(train, test, spec, min(grid.get("maxBins", [32])))
+    vectors = features.transform(train).select(spec.id, spec.label_index, "Features")
+    model = fit_cross_validated(vectors, spec.label_index, spec.id, grid, folds)
     names = IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label.labels)
     return names.transform(model.transform(features.transform(test)))
 
@@ -208,10 +250,8 @@ def submit_passengers(
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
     folds: int = DEFAULT_FOLDS,
 ) -> None:
-    """CSV files in, CSV files out; both are checked before they are read."""
+    """CSV files in, CSV files out; both are checked while they are read."""
     unlabelled = without_fields(PASSENGER_SCHEMA, ["Survived"])
-    require_clean(spark, train_path, PASSENGER_SCHEMA)
-    require_clean(spark, test_path, unlabelled)
-    train = read_by_name(spark, train_path, PASSENGER_SCHEMA)
-    test = read_by_name(spark, test_path, unlabelled)
+    train = read_clean(spark, train_path, PASSENGER_SCHEMA)
+    test = read_clean(spark, test_path, unlabelled)
     write_csv(classify_passengers(train, test, grid, folds), out)

@@ -17,8 +17,7 @@ from rankflow.operators.cascade import (
     union_rerank,
 )
 from rankflow.operators.topk import Rule, rule_candidates, rule_lists
-from rankflow.sources.audit import require_clean
-from rankflow.sources.readers import read_by_name
+from rankflow.sources.audit import read_clean
 from rankflow.sources.schemas import interaction_schema
 from rankflow.sources.sinks import write_csv
 
@@ -104,13 +103,9 @@ def recommend_hotels(train: DataFrame, requests: DataFrame, dedupe: bool = False
 def interactions_and_requests(
     spark: SparkSession, train_path: str, requests_path: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Both files, checked before they are read."""
-    found = []
-    for path, training in ((train_path, True), (requests_path, False)):
-        schema = interaction_schema(training)
-        require_clean(spark, path, schema)
-        found.append(read_by_name(spark, path, schema))
-    return found[0], found[1]
+    """Both files, checked while they are read."""
+    train = read_clean(spark, train_path, interaction_schema(True))
+    return train, read_clean(spark, requests_path, interaction_schema(False))
 
 
 def submit_hotels(spark: SparkSession, train_path: str, requests_path: str, out: str) -> None:

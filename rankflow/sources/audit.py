@@ -1,18 +1,28 @@
-"""Counts of missing and unparseable values, as one aggregation."""
+"""Missing and unparseable values: counted in one aggregation, or set apart as rows while a file is read."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.sources.readers import CSV_QUOTES
+from rankflow.sources.readers import CSV_QUOTES, line_order
+from rankflow.sources.workspace import new_folder
 
 MALFORMED = "_malformed"
 
 
+def _raw_records(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> tuple[DataFrame, list[str]]:
+    """The records of a file as text, with those of another width whole in ``_malformed``; and the names of their fields."""
+    names = spark.read.csv(path, header=True, **CSV_QUOTES).columns if header else schema.fieldNames()
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    # Whole records must be split to be counted, also where no column of theirs is audited.
+    reader = spark.read.schema(text).option("columnPruning", False)
+    return reader.csv(path, header=header, enforceSchema=not header, columnNameOfCorruptRecord=MALFORMED, **CSV_QUOTES), names
+
+
 def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """``audit_rows`` of a file against its declared schema, before any value is converted.
 
@@ -20,11 +30,7 @@ def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     ``_malformed`` counts the records with too few or too many fields as unparseable. Columns
     are found by name in the header, or stand in the order of the schema without one.
     """
-    names = spark.read.csv(path, header=True, **CSV_QUOTES).columns if header else schema.fieldNames()
-    text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
-    # Whole records must be split to be counted, also where no column of theirs is audited.
-    reader = spark.read.schema(text).option("columnPruning", False)
-    raw = reader.csv(path, header=header, columnNameOfCorruptRecord=MALFORMED, **CSV_QUOTES)
+    raw, names = _raw_records(spark, path, schema, header)
     known = [f for f in schema.fields if f.name in names]
     return audit_rows(
         raw,
@@ -34,15 +40,57 @@ def audit_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     )
 
 
-def require_clean(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Refuse a file with records of another width, or with required values missing or unparseable.
+def split_faulty(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows of a file that can be used, in the columns of ``schema``, and the faults of all its rows.
 
-    One pass over the file as text; the counts are one row per audited column.
+    A fault has file and seq (its place, see ``read_lines``), column, value, reason, and kept: whether the row is used
+    nevertheless, as it is where the field may be null. A row is refused where a required value is missing or does
+    not parse, and where the number of fields is another one (column ``_malformed``, the value is the record). A column that the
+    file lacks is null, or an error if it is required. The file is parsed once; both parts are written side by side.
     """
-    required = {f.name for f in schema.fields if not f.nullable} | {MALFORMED}
-    faults = [tuple(r) for r in audit_csv(spark, path, schema).collect() if r.column in required and (r.missing or r.unparseable)]
-    if faults:
-        raise ValueError(f"{path} holds (column, missing, unparseable): {faults}")
+    raw, names = _raw_records(spark, path, schema, header)
+    missing = [f.name for f in schema.fields if f.name not in names and not f.nullable]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    values, faults = [], []
+
+    def fault(when: Column, column: str, value: Column, reason: str, fatal: bool) -> Column:
+        found = F.struct(F.lit(column).alias("column"), value.alias("value"), F.lit(reason).alias("reason"), F.lit(fatal).alias("fatal"))
+        return F.when(when, found)
+
+    for field in schema.fields:
+        if field.name not in names:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        text = F.nullif(F.col(f"`{field.name}`"), F.lit(""))
+        value = text.try_cast(field.dataType)
+        values.append(value.alias(field.name))
+        if not field.nullable:
+            faults.append(fault(text.isNull(), field.name, text, "missing", True))
+        if not isinstance(field.dataType, T.StringType):
+            faults.append(fault(text.isNotNull() & value.isNull(), field.name, text, "unparseable", not field.nullable))
+    whole = F.col(MALFORMED)
+    faults.append(fault(whole.isNotNull(), MALFORMED, whole, "wrong number of fields", True))
+    found = F.filter(F.array(*faults), lambda f: f.isNotNull())
+    checked = raw.select(F.struct(*values).alias("row"), found.alias("faults"), line_order().alias("seq"))
+    refused = F.exists("faults", lambda f: f["fatal"])
+    target = new_folder(spark, "checked")
+    checked.withColumn("refused", refused).write.partitionBy("refused").parquet(target)
+    columns = T.StructType([T.StructField("row", checked.schema["row"].dataType), checked.schema["faults"], checked.schema["seq"], T.StructField("refused", T.BooleanType())])
+    rows = spark.read.schema(columns).parquet(target)
+    clean = rows.where(~F.col("refused")).select("row.*")
+    faulty = rows.select("seq", "refused", "row", F.inline("faults"))
+    return clean, faulty.select(F.col("seq.file").alias("file"), "seq", "column", "value", "reason", (~F.col("refused")).alias("kept"), "row")
+
+
+def read_clean(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a file with a header, parsed once; one with records of another width, or required values missing or
+    unparseable, is refused, with the number of faults in refused rows and the first value of each kind."""
+    clean, faults = split_faulty(spark, path, schema)
+    counts = faults.where(~F.col("kept")).groupBy("column", "reason").agg(F.count(F.lit(1)).alias("n"), F.min_by("value", "seq").alias("value")).collect()
+    if counts:
+        raise ValueError(f"{path} holds (column, reason, how often, first value): {sorted(tuple(r) for r in counts)}")
+    return clean
 
 
 def audit_rows(

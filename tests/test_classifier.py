@@ -19,7 +19,8 @@ from rankflow.plans import (
     prepare_passengers,
     submit_passengers,
 )
-from rankflow.plans.classifier import DEFAULT_FOLDS, check_categories
+from rankflow.operators.ordering import label_order, with_label_order
+from rankflow.plans.classifier import DEFAULT_FOLDS, check_categories, fold_table
 from rankflow.sources import PASSENGER_SCHEMA, without_fields
 from tests.conftest import TESTDATA
 
@@ -122,6 +123,36 @@ def test_submission(spark, tmp_path):
     assert {r[0] for r in back.select("Survived").distinct().collect()} == {"0", "1"}
 
 
+def test_categories_in_the_order_of_their_labels(spark):
+    rows = [("a", 1), ("a", 0), ("b", 1), ("c", 0), (None, 0), (None, 0), ("d", 1), ("e", 0), ("e", 1)]
+    orders = label_order(spark.createDataFrame(rows, "c string, y int"), "c", "y")
+    assert {(r.c, r.n, r.mean, r.order) for r in orders.collect()} == {
+        ("a", 2, 0.5, 1), ("b", 1, 1.0, 2), ("c", 1, 0.0, 0), (None, 2, 0.0, 0), ("d", 1, 1.0, 2), ("e", 2, 0.5, 1),
+    }
+    new = spark.createDataFrame([("b", 1), ("zz", 2), (None, 3)], "c string, id int")
+    placed = with_label_order(new, "c", orders.where("c IS NOT NULL"), "order")
+    assert {(r.id, r.order) for r in placed.collect()} == {(1, 2.0), (2, -1.0), (3, -1.0)}
+
+
+def test_wide_categories_reach_the_forest(spark):
+    """Two thousand values, of which the label depends; no indexer sees them."""
+    rows = [(i, str((i % 2000) % 3 // 2), float(i % 7), f"v{i % 2000}" if i % 2000 else None) for i in range(6000)]
+    train = spark.createDataFrame(rows, "id int, label string, x double, c string")
+    spec = FeatureSpec(id="id", label="label", numeric=("x",), categorical=(), wide=("c",))
+    test = train.where("id < 2000").drop("label").unionByName(spark.createDataFrame([(9999, 0.0, "unseen")], "id int, x double, c string"))
+    scored = classify(train, test, spec, {"maxBins": [32], "maxDepth": [3], "impurity": ["gini"]}, folds=2)
+    got = {r.id: r.predictedLabel for r in scored.select("id", "predictedLabel").collect()}
+    assert got == {i: label for i, label, _, _ in rows[:2000]} | {9999: "0"}
+
+
+def test_folds_and_partitions_follow_the_rows(spark):
+    data = spark.range(1000).select(F.col("id"), F.lit(1.0).alias("label"), F.lit(0.0).alias("Features"))
+    tables = [fold_table(d, "label", "id", 5, rows_per_task=300) for d in (data, data.repartition(7))]
+    assert [t.rdd.getNumPartitions() for t in tables] == [4, 4]
+    first, second = ([r.fold for r in t.collect()] for t in tables)
+    assert first == second and set(first) == set(range(5))
+
+
 @pytest.mark.parametrize(("values", "grid", "fits"), [(25, [25], True), (30, [25, 31], False), (60, [31], False), (26, [25], False)])
 def test_the_smallest_number_of_bins_limits_categories(spark, values, grid, fits):
     spec = FeatureSpec(id="id", label="label", numeric=("x",), categorical=("c",))

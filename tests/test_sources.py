@@ -1,9 +1,12 @@
+import csv
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankflow.catalog import QUERIES
 from rankflow.operators.aggregates import last_write_wins
 from rankflow.plans import pair_features_from_files, score_list_files, recommend_hotels, submit_hotels, interactions_and_requests
 from rankflow.sources import (
@@ -25,8 +28,10 @@ from rankflow.sources import (
     write_csv,
     write_parquet,
 )
-from rankflow.sources.audit import require_clean
-from rankflow.sources.workspace import remove_folder, shared_folder, stored
+from rankflow.sources.audit import read_clean, split_faulty
+from rankflow.sources.inference import infer_types
+from rankflow.sources.workspace import Workspace, close_session_workspace, remove_folder, shared_folder, stored
+from tests.conftest import TESTDATA
 
 SCHEMA = T.StructType(
     [
@@ -115,7 +120,7 @@ def test_a_sample_whose_writing_broke_off_is_written_again(spark, tmp_path):
 def test_files_with_required_gaps_are_refused_before_load(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name,price,seen\n1,x,,\n,y,,\n3,z\n")
     with pytest.raises(ValueError, match="id"):
-        require_clean(spark, str(tmp_path / "a.csv"), SCHEMA)
+        read_clean(spark, str(tmp_path / "a.csv"), SCHEMA)
 
 
 def test_missing_required_column(spark, tmp_path):
@@ -325,3 +330,133 @@ def test_pair_features_from_files(spark, tmp_path):
     row = features.collect()
     assert len(row) == 1 and "images_array_1" not in features.columns
     assert (row[0].title_1, row[0].description_1, row[0].title_2, row[0].description_2) == (14, 9, 0, 5)
+
+
+# --- records over several lines --------------------------------------------------------------
+
+
+def write_one_file(path, rows, newline="\n"):
+    """A CSV by another writer."""
+    path.mkdir()
+    with open(path / "a.csv", "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator=newline)
+        writer.writerow(["id", "text", "n"])
+        writer.writerows(rows)
+
+
+MULTILINE = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("n", T.IntegerType())])
+TRICKY = [
+    'plain', 'two\nlines', 'a "quoted" word', '"', '""', '\n', '\n\n"\n', ',\n,', 'x\r\ny', 'é\n中', '1,"2"\n3', '"\n' * 40, "long " * 300, "end\n",
+]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [64, 997, 1 << 20])
+def test_records_of_one_file_are_read_by_many_tasks(spark, conf, tmp_path, newline, split):
+    rows = [(i, f"{i}{TRICKY[i % len(TRICKY)]}", i) for i in range(200)]
+    write_one_file(tmp_path / "in", rows, newline)
+    conf("spark.sql.files.maxPartitionBytes", str(split))
+    conf("spark.sql.files.openCostInBytes", "0")
+    assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > (1 if split < 1000 else 0)
+    found = read_quoted(spark, str(tmp_path / "in"), MULTILINE, multiline=True)
+    assert sorted(map(tuple, found.collect())) == rows
+    if newline == "\n":  # with the other one, Spark changes line breaks within fields
+        by_spark = spark.read.schema(MULTILINE).csv(str(tmp_path / "in"), header=True, multiLine=True, lineSep="\n", quote='"', escape='"')
+        assert sorted(map(tuple, by_spark.collect())) == rows
+
+
+def test_records_of_several_files_and_inferred_types(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "50")
+    for name in ("x", "y"):
+        write_one_file(tmp_path / name, [(i, f"{name}\n{i}", i / 2) for i in range(30)])
+    paths = [str(tmp_path / "x"), str(tmp_path / "y")]
+    found = read_quoted(spark, paths, multiline=True)
+    assert found.dtypes == [("id", "int"), ("text", "string"), ("n", "double")]
+    assert sorted(r.text for r in found.collect()) == sorted(f"{name}\n{i}" for name in "xy" for i in range(30))
+
+
+@pytest.mark.parametrize("bad", ['1,"a\nb"\n', '1,"a\nb",2,3\n', '1,"open\n2,b,3\n', '1,"a\nb",word\n'])
+def test_malformed_records_fail(spark, tmp_path, bad):
+    (tmp_path / "a.csv").write_text("id,text,n\n0,x,1\n" + bad)
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        read_quoted(spark, str(tmp_path / "a.csv"), MULTILINE, multiline=True).collect()
+
+
+# --- faults and types ------------------------------------------------------------------------
+
+
+def test_faulty_rows_and_the_others(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("n", T.DoubleType()), T.StructField("s", T.StringType()), T.StructField("gone", T.DateType())])
+    (tmp_path / "a.csv").write_text('s,id,n\na,1,1.5\nb,,2\n"c,c",x,3\nd,4,word\ne,5\nf,6,7,8\n,7,\n')
+    clean, faults = split_faulty(spark, str(tmp_path / "a.csv"), schema)
+    assert sorted(map(tuple, clean.collect())) == [(1, 1.5, "a", None), (4, None, "d", None), (7, None, None, None)]
+    assert clean.columns == schema.fieldNames()
+    got = {(r.column, r.value, r.reason, r.kept) for r in faults.where("column <> '_malformed'").collect()}
+    assert got == {("id", None, "missing", False), ("id", "x", "unparseable", False), ("n", "word", "unparseable", True)}
+    assert sorted(r.value for r in faults.where("column = '_malformed'").collect()) == ["e,5", "f,6,7,8"]
+    places = [r.value for r in faults.orderBy("seq").collect()]
+    assert places == [None, "x", "word", "e,5", "f,6,7,8"]
+    with pytest.raises(ValueError, match="_malformed"):
+        read_clean(spark, str(tmp_path / "a.csv"), schema)
+
+
+@pytest.mark.parametrize(
+    ("values", "found"),
+    [
+        (["1", "-2", None], "int"), (["1", "3000000000"], "bigint"), (["1", "99999999999999999999"], "double"), (["1", "1e3", ".5"], "double"),
+        (["true", "FALSE"], "boolean"), (["true", "1"], "string"), (["2020-01-31"], "date"), (["2020-02-31"], "string"),
+        (["2020-01-31", "2020-01-31T10:00"], "timestamp_ntz"), (["2020-01-31 10:00:00.5", "2020-01-31T10:00:00Z"], "timestamp"),
+        (["1", "2020-01-31"], "string"), ([None, ""], "string"), (["NaN"], "string"), (["1d"], "string"),
+    ],
+)
+def test_narrowest_type(spark, values, found):
+    rows = spark.createDataFrame([(v, "f") for v in values], "c string, f string")
+    (r,) = infer_types(rows, ["c"], "f").collect()
+    assert (r.column, r.type, r.by_source) == ("c", found, [])
+
+
+def test_files_that_disagree(spark):
+    rows = spark.createDataFrame([("1", "x", "a"), ("2.5", "x", "b"), (None, "x", "c")], "`c.d` string, e string, f string")
+    got = {r.column: (r.type, r.by_source) for r in infer_types(rows, ["c.d", "e"], "f").collect()}
+    assert got == {"c.d": ("double", ["double", "int"]), "e": ("string", [])}
+
+
+# --- who removes folders ---------------------------------------------------------------------
+
+
+def folders(spark):
+    place = shared_folder(spark).removeprefix("file:")
+    return set(os.listdir(place)) if os.path.isdir(place) else set()
+
+
+def test_a_workspace_leaves_what_its_results_read(spark):
+    before = folders(spark)
+    with Workspace(spark) as outer:
+        with Workspace(spark) as inner:
+            first = stored(spark.range(10).toDF("a"), "first")
+            second = stored(first.selectExpr("a + 1 AS a"), "second")
+            limit = stored(spark.range(1).selectExpr("5L AS top"), "third")
+            result = inner.keep(second.where(F.col("a") <= limit.scalar()))
+            assert len(folders(spark) - before) == 3
+        assert len(folders(spark) - before) == 2 and len(outer.folders) == 2
+        assert result.count() == 5
+        outer.release(result)
+        assert folders(spark) == before
+    assert folders(spark) == before
+
+
+def test_folders_without_an_open_workspace_belong_to_the_session(spark):
+    close_session_workspace(spark)
+    before = folders(spark)
+    df = stored(spark.range(3), "mine")
+    assert df.count() == 3 and len(folders(spark) - before) == 1
+    close_session_workspace(spark)
+    assert folders(spark) == before
+
+
+@pytest.mark.parametrize("name", ["map_file", "hotel_files", "csv_quoted", "impute_mean", "rejected_rows", "text_lines"])
+def test_queries_leave_only_what_their_results_read(spark, name):
+    before = folders(spark)
+    result = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+    left = folders(spark) - before
+    assert 0 < len(left) <= {"map_file": 2}.get(name, 1) and result.count() > 0
