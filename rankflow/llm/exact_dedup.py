@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators.joins import join_ranked
+from rankflow.llm.names import free_names
 from rankflow.sources.workspace import stored
 
 
@@ -98,11 +99,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     once among the kept rows are compared again.
     """
     groups = exact_groups(docs, id_col, text_col, **options).where("kept")
-    kept = groups.groupBy("doc_id", "row_mark").agg(F.count(F.lit(1)).alias("_times"))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("row_mark").alias("_kept_mark"), "_times")
+    kept_id, kept_mark, times = free_names(docs, "kept_id", "kept_mark", "times")
+    kept = groups.groupBy(F.col("doc_id").alias(kept_id), F.col("row_mark").alias(kept_mark)).agg(F.count(F.lit(1)).alias(times))
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (mark == F.col("_kept_mark"))
-    rows = docs.join(kept, same).drop("_kept_id", "_kept_mark")
-    single = rows.where("_times = 1").drop("_times")
-    repeated = rows.where("_times > 1").drop("_times").dropDuplicates([id_col, text_col])
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (mark == F.col(kept_mark))
+    rows = docs.join(kept, same).drop(kept_id, kept_mark)
+    single = rows.where(F.col(times) == 1).drop(times)
+    repeated = rows.where(F.col(times) > 1).drop(times).dropDuplicates([id_col, text_col])
     return single.unionByName(repeated)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.components import connected_components
+from rankflow.llm.names import free_names
 from rankflow.llm.words import WIDTH, blocks, hashed_shingles, mix, shingle_sets
 from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import stored
@@ -292,11 +293,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of :func:`ngram_join`; columns stay as they are."""
     rows = ngram_join(docs, id_col, text_col, **options)
-    kept = rows.groupBy("doc_id", "row_mark").agg(F.count(F.lit(1)).alias("_times"), F.max("kept").alias("_kept"))
-    kept = kept.where("_kept").select(F.col("doc_id").alias("_kept_id"), F.col("row_mark").alias("_kept_mark"), "_times")
+    kept_id, kept_mark, times = free_names(docs, "kept_id", "kept_mark", "times")
+    kept = rows.groupBy(F.col("doc_id").alias(kept_id), F.col("row_mark").alias(kept_mark))
+    kept = kept.agg(F.count(F.lit(1)).alias(times), F.max("kept").alias("stays")).where("stays").drop("stays")
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    here = F.col(id_col).cast("bigint").eqNullSafe(F.col("_kept_id")) & (mark == F.col("_kept_mark"))
-    left = docs.join(kept, here).drop("_kept_id", "_kept_mark")
-    single = left.where("_times = 1").drop("_times")
-    repeated = left.where("_times > 1").drop("_times").dropDuplicates([id_col, text_col])
+    here = F.col(id_col).cast("bigint").eqNullSafe(F.col(kept_id)) & (mark == F.col(kept_mark))
+    left = docs.join(kept, here).drop(kept_id, kept_mark)
+    single = left.where(F.col(times) == 1).drop(times)
+    repeated = left.where(F.col(times) > 1).drop(times).dropDuplicates([id_col, text_col])
     return single.unionByName(repeated)

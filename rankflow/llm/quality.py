@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.llm.names import free_names
 from rankflow.llm.words import blocks, hash_spans, text_bytes, word_spans
 
 FORMS, SHAPES, SIZE, WINDOW = 6144, 2048, 32, 2
@@ -216,7 +217,8 @@ def fit_quality(
 ) -> QualityModel:
     """Word vectors from all ``docs``; the network from at most ``max_labels`` labelled rows that are not held out.
 
-    Rows without a label or an id don't teach; an id with several labels has that of the majority, 1 for a tie.
+    Rows without a label or an id don't teach; an id with several labels has that of the majority, 1 for a tie. Of an
+    id with several texts the smallest one (by its bytes) teaches, so that the network depends on the rows alone.
     """
     vectors = word_vectors(docs, text_col)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -230,7 +232,7 @@ def fit_quality(
 
     # the size of the broadcast side is bounded by max_labels
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = rows.join(F.broadcast(known), "_id").select("_id", "_label", "_text").dropDuplicates(["_id"])
+    rows = rows.join(F.broadcast(known), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
     sample = sorted(rows.mapInArrow(run, f"id {kind}, label int, x binary").collect(), key=lambda r: r[0])
     x = np.array([np.frombuffer(r[2], dtype=np.float32) for r in sample]).reshape(-1, 2 * SIZE + 1)
@@ -264,4 +266,5 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that the classifier predicts as label 1; columns stay as they are."""
     model = fit_quality(docs, labels, id_col, text_col, **options)
-    return score_quality(docs, model, text_col, "_score").where("_score >= 0.5").drop("_score")
+    (score,) = free_names(docs, "score")
+    return score_quality(docs, model, text_col, score).where(F.col(score) >= 0.5).drop(score)

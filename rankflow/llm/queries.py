@@ -21,14 +21,14 @@ from rankflow.llm.secret_scan import secret_report
 from rankflow.llm.token_counts import count_tokens
 from rankflow.llm.token_files import read_token_files, write_token_files
 from rankflow.llm.url_filter import judge_urls
-from rankflow.sources.workspace import new_folder
+from rankflow.sources.workspace import new_folder, tidy
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
 
 
 def _register(query):
-    LLM_QUERIES[query.__name__] = query
+    LLM_QUERIES[query.__name__] = tidy(query)
     return query
 
 

@@ -21,9 +21,7 @@ from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import stored
 
 ORDER = 4
-SLOTS = 1 << 18
 _START, _END, _LEFT = "\x02", "\x03", "\x00"
-_FINE = 65536
 #: Parts of a unit in the values of n-grams: whole numbers, so that the order of a sum changes nothing.
 _PARTS = 1 << 30
 #: Bins of a score from -8 to 8 in the calibration.
@@ -71,8 +69,10 @@ def longest_rule(host: Column, path: Column, rules: Sequence[UrlRule] = RULES) -
 
 
 def _spelled(url: Column) -> Column:
-    """What the models read: everything after the scheme, in lower case, without the control characters used here."""
-    rest = F.coalesce(F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1), F.lit(""))
+    """What the models read: what follows the scheme, or the whole url without one, in lower case, without the control
+    characters used here."""
+    known = F.coalesce(url, F.lit(""))
+    rest = F.when(F.contains(known, F.lit("://")), F.regexp_extract(known, r"(?s)^.*?://(.*)$", 1)).otherwise(known)
     return F.translate(_lower(rest), _START + _END + _LEFT, "")
 
 
@@ -157,53 +157,6 @@ def score_texts(texts: DataFrame, ratios: DataFrame) -> DataFrame:
     return valued.groupBy("id").agg((total / F.lit(float(_PARTS)) / F.count(F.lit(1))).alias("score"))
 
 
-def _slot(key: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
-
-
-def url_model(texts: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """One row with ``model``: an array of ``slots`` packed (check value, log-ratio) pairs, null where empty.
-
-    ``texts`` has text and accepted. Of n-grams with the same slot the most frequent one stays, and the others are
-    scored by shorter ones. The size does not grow with the input, so :func:`judge_urls` does not use it.
-    """
-    ratios = _ratios(_ngrams(texts))
-    fixed = F.round(F.greatest(F.least("ratio", F.lit(1000.0)), F.lit(-1000.0)) * _FINE).cast("bigint")
-    check = F.shiftleft(F.shiftright(F.xxhash64("key"), 32), 32)
-    packed = check.bitwiseOR(fixed.bitwiseAND(F.lit(0xFFFFFFFF)))
-    filled = ratios.groupBy(_slot(F.col("key"), slots).cast("bigint").alias("id"))
-    filled = filled.agg(F.max_by(packed, F.struct("weight", "key")).alias("packed"))
-    every = texts.sparkSession.range(slots).join(filled, "id", "left")
-    ordered = F.sort_array(F.collect_list(F.struct("id", "packed")))
-    return every.agg(F.transform(ordered, lambda s: s["packed"]).alias("model"))
-
-
-def _score(text: Column, model: Column, slots: int) -> Column:
-    """Mean log-ratio over the characters of ``text`` and its end."""
-    padded = _padded(text)
-
-    def found(key: Column) -> Column:
-        packed = F.get(model, _slot(key, slots))
-        held = F.shiftright(packed, 32) == F.shiftright(F.xxhash64(key), 32)
-        return F.when(held, F.shiftright(F.shiftleft(packed, 32), 32) / F.lit(float(_FINE)))
-
-    def at(i: Column) -> Column:
-        value = F.lit(0.0)
-        for k in range(ORDER + 1):
-            gram, context = F.substr(padded, i + ORDER - k, F.lit(k + 1)), F.substr(padded, i + ORDER - k, F.lit(k))
-            left = F.coalesce(found(F.concat(context, F.lit(_LEFT))), F.lit(0.0))
-            value = F.coalesce(found(gram), left + value)
-        return value
-
-    places = F.sequence(F.lit(1), F.length(text) + 1)
-    return F.aggregate(places, F.lit(0.0), lambda total, i: total + at(i)) / (F.length(text) + 1)
-
-
-def _scored(rows: DataFrame, model: DataFrame, slots: int) -> DataFrame:
-    """``rows`` (with ``text``) and ``score``. The model is one value for the whole query, not a join."""
-    return rows.withColumn("_model", model.scalar()).withColumn("score", _score(F.col("text"), F.col("_model"), slots)).drop("_model")
-
-
 def _threshold(scored: DataFrame) -> float:
     """The score from which accepting is right in most accepted and wrong in most rejected rows, each side weighing half.
 
@@ -229,8 +182,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     The longest rule that fits decides; ``score`` is null there. Of the URLs that rules decide, four fifths (by a hash)
     train the models and one fifth sets the threshold; without one of the two kinds the threshold is 0, without
-    any decided URL all scores are 0 and the verdict is allow. A null url or one without ``://`` has an empty host
-    and path and is scored as an empty text. Repeated rows are judged alike; an empty table gives no rows.
+    any decided URL all scores are 0 and the verdict is allow. A url without ``://`` has an empty host and path and is scored by all
+    its characters; null counts as the empty url. Repeated rows are judged alike; an empty table gives no rows.
     """
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).alias("_id"), url_host(url).alias("host"), url_path(url).alias("path"), _spelled(url).alias("text"))

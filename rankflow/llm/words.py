@@ -1,6 +1,8 @@
 """Words and word shingles of whole Arrow batches, hashed with numpy.
 
-Words are the maximal runs of characters other than ASCII white space in the lower-cased text. A
+Words are the maximal runs of characters other than ASCII white space in the lower-cased text. For shingles, each character
+of a script written without blanks (Chinese, Japanese, Thai, Lao, Khmer, Burmese) is a word, and so is each character of a run
+of over ``LONG_WORD`` bytes: such texts have as many shingles as characters, not one. A
 shingle is ``width`` words in a row; a text with fewer words has one shingle of all its words, a
 text without words has none. Hashes are 63 bits, so that they order alike as ``bigint``.
 """
@@ -15,6 +17,7 @@ import pyarrow.compute as pc
 
 WIDTH = 5
 BLOCK_BYTES = 1 << 21
+LONG_WORD = 1000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -64,6 +67,43 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """Whether a character of a script without blanks begins at each byte."""
+    after = np.zeros_like(data)
+    after[:-1] = data[1:]
+
+    def within(low: int, high: int) -> np.ndarray:
+        return (after >= low) & (after <= high)
+
+    found = (data >= 0xE3) & (data <= 0xE9)  # U+3000 to U+9FFF
+    found |= (data == 0xE0) & within(0xB8, 0xBB)  # Thai, Lao
+    found |= (data == 0xE1) & (within(0x80, 0x82) | within(0x9E, 0x9F))  # Burmese, Khmer
+    found |= (data == 0xEF) & within(0xA4, 0xAB)  # compatibility ideographs
+    return found | ((data == 0xF0) & within(0xA0, 0xBF))  # further ideographs
+
+
+def split_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words cut into characters where the script has no blanks, and where they are very long."""
+    long = ends - starts > LONG_WORD
+    if not len(starts) or (not long.any() and data.max() < 0xE0):
+        return starts, ends
+    begins = np.append(data & 0xC0 != 0x80, True)
+    first = _unspaced(data)
+    alone = np.zeros(len(data) + 1, dtype=np.int32)
+    np.add.at(alone, starts[long], 1)
+    np.add.at(alone, ends[long], -1)
+    first |= begins[:-1] & (np.cumsum(alone[:-1]) > 0)
+    places = np.flatnonzero(first)
+    if not len(places):
+        return starts, ends
+    characters = np.flatnonzero(begins)
+    following = characters[np.searchsorted(characters, places, side="right")]
+    word = np.searchsorted(starts, places, side="right") - 1
+    cuts = np.unique(np.concatenate([starts, places, following[following < ends[word]]]))
+    own = np.searchsorted(starts, cuts, side="right") - 1
+    return cuts, np.minimum(np.append(cuts[1:], len(data)), ends[own])
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit polynomial hash of each span of bytes, block by block; spans don't overlap."""
     out, first = np.zeros(len(starts), dtype=np.uint64), 0
@@ -81,10 +121,11 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (as written, not lower-cased), and the number of words before each text."""
+    """Hashes of all words of shingles (as written, not lower-cased), and the number of words before each text."""
     data, offsets = text_bytes(texts)
-    starts, ends, bounds = word_spans(data, offsets)
-    return hash_spans(data, starts, ends), bounds
+    starts, ends, _ = word_spans(data, offsets)
+    starts, ends = split_spans(data, starts, ends)
+    return hash_spans(data, starts, ends), np.searchsorted(starts, offsets)
 
 
 def hashed_shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from rankflow.llm import mixing
 from rankflow.llm.mixing import mix_sources, repeat_mixed
@@ -137,3 +138,17 @@ def test_supplied_documents(spark):
     got = mix_sources(docs).collect()
     check(got, rows, mixing.TARGET_ENTROPY, mixing.REPEAT_LIMIT)
     assert {r.doc_id for r in got} == {i for i, _, _ in rows}
+
+
+@pytest.mark.parametrize("budget", [None, 60_000])
+def test_the_layout_changes_nothing(spark, budget):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id < 40")).unionByName(docs.where("doc_id < 9").withColumn("source", F.lit("other")))
+    results = [sorted(map(tuple, mix_sources(d, budget_tokens=budget, block_tokens=20_000).collect())) for d in (docs, docs.repartition(5), docs.coalesce(1))]
+    assert results[0] == results[1] == results[2] and len(results[0]) > 100
+
+
+def test_rows_without_tokens_fill_several_blocks(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"), F.lit("s").alias("source"))
+    sizes = [r["count"] for r in mix_sources(docs, block_rows=500).groupBy("block").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1000

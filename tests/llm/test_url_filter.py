@@ -6,8 +6,7 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
-from rankflow.llm.url_filter import RULES, _ngrams, _ratios, _scored, _spelled, judge_urls, longest_rule, url_host, url_model, url_path
-from rankflow.sources.workspace import stored
+from rankflow.llm.url_filter import RULES, _ngrams, _ratios, _spelled, judge_urls, longest_rule, score_texts, url_host, url_path
 from tests.conftest import TESTDATA
 
 URLS = [
@@ -94,20 +93,19 @@ def brute_ratio(text, train, order=4):
 def test_scores_match_brute_force(spark):
     train = [("a.org/en/12", True), ("b.org/fr/7", True), ("a.org/x", True), ("a.com/de/1", False), ("bb.com/de/22", False)]
     tests = ["a.org/en/12", "c.net/de/9", "", "ÿzz", "b.org/de/7", "a.com"]
-    texts = spark.createDataFrame(train, "text string, accepted boolean")
-    model = stored(url_model(texts), "url-model")
-    got = _scored(spark.createDataFrame([(t,) for t in tests], "text string"), model, 1 << 18).collect()
+    ratios = _ratios(_ngrams(spark.createDataFrame(train, "text string, accepted boolean")))
+    got = score_texts(spark.createDataFrame(list(enumerate(tests)), "id bigint, text string"), ratios).collect()
+    assert len(got) == len(tests)
     for row in got:
-        assert row.score == pytest.approx(brute_ratio(row.text, train), abs=1e-4)
+        assert row.score == pytest.approx(brute_ratio(tests[row.id], train), abs=1e-6)
 
 
-def test_full_slots_still_score(spark):
-    texts = spark.createDataFrame([("a.org/en/12", True), ("a.com/de/1", False)] * 3, "text string, accepted boolean")
-    model = stored(url_model(texts, 16), "url-model")
-    assert len(model.first().model) == 16
-    scores = _scored(texts.select("text"), model, 16).collect()
-    assert all(math.isfinite(r.score) for r in scores)
-    assert _ratios(_ngrams(texts)).count() > 16
+def test_urls_without_a_scheme_are_read(spark):
+    urls = ["http://a.org/en/1", "http://b.org/en/2", "http://a.com/de/1", "http://b.com/de/2", "spam.de/de/1", "example.net/en/2", None, "", "x:/y"]
+    rows = judge_urls(spark.createDataFrame(list(enumerate(urls * 6)), "page_id bigint, url string")).collect()
+    by = {urls[r.page_id % len(urls)]: r for r in rows}
+    assert (by["spam.de/de/1"].host, by["spam.de/de/1"].path, by["spam.de/de/1"].rule) == ("", "", None)
+    assert by["spam.de/de/1"].score < by["example.net/en/2"].score and by[None].score == by[""].score
 
 
 def test_method_follows_the_rules_on_undecided_hosts(spark):
