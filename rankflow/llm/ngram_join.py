@@ -2,7 +2,7 @@
 
 Texts with equal n-gram sets form a class and are joined once. The bands of the classes are
 shuffled by their hashes; classes that meet in a band, directly or through others, form a cluster. All
-pairs within a cluster are verified on the full sets, block against block inside tasks: what leaves a
+pairs within a cluster whose sizes admit a link are verified on the full sets, block against block inside tasks: what leaves a
 task is a number of links for each class and a spanning forest, never the pairs. So a large group of
 near copies costs its pairs in arithmetic, not in rows, and no link is left out or capped.
 """
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.components import connected_components
@@ -28,6 +28,7 @@ RECALL = 0.9999
 MAX_HASHES = 1152
 #: Classes, and shingles, of a block; a task compares two blocks at a time.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 20
+_BLOCK_BITS = 40
 _SEED = 20240917
 
 
@@ -122,19 +123,47 @@ def _clusters(signed: DataFrame, leaders: DataFrame) -> DataFrame:
     return connected_components(stars.select("node", "centre"), "node", "centre")
 
 
-def _block_pairs(clusters: DataFrame, sets: DataFrame) -> DataFrame:
+def _blocks(sets: Column, shingles: Column) -> Column:
+    """Number of blocks that hold so many sets with so many shingles in all."""
+    return F.greatest(F.ceil(sets / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("bigint")
+
+
+def _block_pairs(clusters: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Each class once for each pair of blocks it is verified in: root, i, j, block, node, size, shingles.
 
-    A cluster is dealt over blocks of about ``BLOCK_SETS`` classes or ``BLOCK_SHINGLES`` shingles by a hash; a cluster of one
-    block gives one pair.
+    A cluster is dealt over blocks of about ``BLOCK_SETS`` classes or ``BLOCK_SHINGLES`` shingles; one of one block gives one
+    pair. In larger ones a level spans a little more than the ratio of sizes that the threshold admits, so that links stay within
+    a level or join two neighbouring ones: blocks further apart never meet. Within its level a class is dealt by a hash. A block's
+    number holds the level above ``_BLOCK_BITS`` bits.
     """
-    rows = clusters.join(sets, "node")
-    weights = clusters.join(sets.select("node", F.size("shingles").alias("n")), "node").groupBy("root")
-    weights = weights.agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles_in_all"))
-    number = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles_in_all") / BLOCK_SHINGLES))
-    rows = join_ranked(rows, weights.select("root", number.cast("bigint").alias("blocks")), ["root"], "inner")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    step = 1.001 * max(-math.log(threshold), 0.001)
+
+    def level(size: Column) -> Column:
+        return F.floor(F.log(size) / step).cast("bigint")
+
+    sized = clusters.join(sets.select("node", F.size("shingles").alias("n")), "node")
+    weights = sized.groupBy("root", level(F.col("n")).alias("level")).agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    # levels of a cluster are few: they grow with the logarithm of its longest text
+    weights = weights.groupBy("root").agg(
+        (_blocks(F.sum("sets"), F.sum("shingles")) == 1).alias("single"),
+        F.map_from_entries(F.collect_list(F.struct("level", _blocks(F.col("sets"), F.col("shingles"))))).alias("levels"),
+    )
+    nought = F.lit(0).cast("bigint")
+    one_block = F.create_map(nought, F.lit(1).cast("bigint"))
+    weights = weights.withColumn("levels", F.when(F.col("single"), one_block).otherwise(F.col("levels")))
+
+    rows = join_ranked(clusters.join(sets, "node"), weights, ["root"], "inner")
+    own = F.when(F.col("single"), nought).otherwise(level(F.size("shingles")))
+    rows = rows.withColumn("level", own)
+
+    def numbers(at: Column) -> Column:
+        first = F.shiftleft(at, _BLOCK_BITS)
+        return F.sequence(first, first + F.col("levels")[at] - 1)
+
+    near = F.filter(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1), lambda at: F.map_contains_key("levels", at))
+    dealt = F.pmod(F.xxhash64("node"), F.col("levels")[F.col("level")])
+    rows = rows.withColumn("block", F.shiftleft("level", _BLOCK_BITS) + dealt)
+    rows = rows.withColumn("other", F.explode(F.flatten(F.transform(near, numbers))))
     pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
     return rows.select("root", *pair, "block", "node", "class_size", "shingles")
 
@@ -251,7 +280,7 @@ def similar_classes(
     wanted = clusters.join(leaders, "node").select("node", "class_size", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     sets = stored(_sets(addressed.join(wanted, here), width), "sets")
-    return members, stored(_linked(_block_pairs(clusters, sets), threshold), "linked")
+    return members, stored(_linked(_block_pairs(clusters, sets, threshold), threshold), "linked")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -62,6 +62,35 @@ def test_small_blocks_count_the_same_links(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def growing():
+    """Texts that each hold the one before and a tenth more: one chain of linked sizes from 40 to over 2,000 words."""
+    lengths = [40]
+    while lengths[-1] < 2000:
+        lengths += [lengths[-1] + max(1, lengths[-1] // 10)]
+    words = [f"w{k}" for k in range(lengths[-1])]
+    texts = [" ".join(words[:n]) for n in lengths]
+    return list(enumerate(texts + [t + " end" for t in texts]))
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.6, 1.0])
+def test_blocks_too_far_apart_in_size_never_meet_and_no_link_is_lost(spark, monkeypatch, threshold):
+    monkeypatch.setattr(module, "BLOCK_SETS", 3)
+    met, block_pairs = [], module._block_pairs
+
+    def counted(*args):
+        met.append(block_pairs(*args))
+        return met[-1]
+
+    monkeypatch.setattr(module, "_block_pairs", counted)
+    rows = growing()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.links, r.group_id) for r in ngram_join(docs, threshold=threshold, recall=0.9999, max_hashes=2000).collect()}
+    assert got == brute(rows, threshold)
+    pairs = met[0].select("i", "j").distinct().collect()
+    blocks = {b for p in pairs for b in p}
+    assert threshold == 1 or 2 * len(blocks) < len(pairs) + len(blocks) and 2 * len(pairs) < len(blocks) ** 2 / 2
+
+
 def test_drop_similar_leaves_one_row_of_each_group(spark):
     rows = sample()
     rows += [rows[0], rows[-1], (None, "no id"), (None, "no id"), (None, None)]
