@@ -1,18 +1,22 @@
 """Packing by powers of two: no sequence crosses documents, and none needs padding.
 
 A document of n tokens is cut into full sequences and then into the binary digits of the rest,
-largest first. Every piece is a sequence of its own; pieces of equal length share a bucket, so that
-batches of a bucket are rectangles.
+largest first. Every piece is a sequence of its own; pieces of equal length share a bucket, and
+:func:`batches` arranges each bucket in rectangles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankflow.llm.names import free_names
 from rankflow.llm.token_ids import token_ids
+from rankflow.operators.ordering import running_total
 
 MAX_LENGTH = 2048
+#: Tokens of a batch.
+BATCH_TOKENS = 1 << 16
 
 
 def piece_bounds(n: Column, max_length: int = MAX_LENGTH) -> Column:
@@ -64,6 +68,28 @@ def pack(
     )
 
 
+def batches(pieces: DataFrame, id_col: str = "doc_id", tokens: int = BATCH_TOKENS, seed: int = 0) -> DataFrame:
+    """``pieces`` of :func:`pack` with ``batch`` and ``place``: each batch is a rectangle of ``tokens`` ids from one bucket.
+
+    A batch holds as many pieces of one length as fit (at least one); only the last of a bucket may hold fewer. Batches are
+    numbered from 0 without gaps, shorter pieces first, and places within them as well. Within a bucket the order is a hash
+    of id, start and ``seed``, so it depends on the rows alone; rows repeated whole are interchangeable. Pieces are
+    shuffled once, by bucket and hash, and stored; offsets have one row for each partition and each bucket.
+    """
+    one, before, first, n, per, earlier = free_names(pieces, "one", "before", "first", "n", "per", "earlier")
+    order = ["bucket", F.xxhash64(id_col, "start", F.lit(seed)), id_col, "start", F.crc32("ids"), "sequence_id"]
+    ordered = running_total(pieces.withColumn(one, F.lit(1)), [F.col(c) if isinstance(c, str) else c for c in order], one, before)
+    buckets = ordered.groupBy("bucket").agg(F.min(before).alias(first), F.count(F.lit(1)).alias(n))
+    buckets = buckets.withColumn(per, F.greatest(F.floor(F.lit(tokens) / F.pow(F.lit(2), F.col("bucket"))), F.lit(1)))
+    # as many rows as a length has bits
+    lower = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn(earlier, F.coalesce(F.sum(F.ceil(F.col(n) / F.col(per))).over(lower), F.lit(0)))
+    position = F.col(before) - F.col(first)
+    placed = ordered.join(F.broadcast(buckets), "bucket")
+    batch = (F.col(earlier) + F.floor(position / F.col(per))).cast("bigint").alias("batch")
+    return placed.select(*pieces.columns, batch, (position % F.col(per)).cast("bigint").alias("place"))
+
+
 def packed_digest(pieces: DataFrame) -> DataFrame:
     """The pieces with a checksum of their ids in place of the ids."""
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")

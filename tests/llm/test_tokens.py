@@ -7,10 +7,10 @@ import pytest
 from tokenizers import Tokenizer
 
 from rankflow.llm import token_ids as module
-from rankflow.llm.packing import pack, packed_digest
+from rankflow.llm.packing import batches, pack, packed_digest
 from rankflow.llm.token_files import decode_block, encode_segment, from_planes, read_token_files, to_planes, write_token_files
 from rankflow.llm.token_ids import WordEncoder, token_ids
-from rankflow.sources.workspace import new_folder
+from rankflow.sources.workspace import new_folder, stored
 from tests.conftest import TESTDATA
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +89,34 @@ def test_packing_of_the_supplied_documents(spark):
     check_pieces(packed_digest(pack(docs, PATH)).collect(), [(r.doc_id, r.text) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("tokens", [4096, 64, 1])
+def test_batches_are_rectangles_and_depend_on_the_rows_alone(spark, tokens):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").select("doc_id", "text").unionByName(frame(spark).select("doc_id", "text"))
+    pieces = stored(pack(docs, PATH, max_length=512), "pieces")
+    seen = []
+    for partitions in (1, 5):
+        rows = batches(pieces.repartition(partitions), tokens=tokens).collect()
+        seen.append(Counter((r.batch, r.place, r.doc_id, r.start, bytes(r.ids)) for r in rows))
+    assert seen[0] == seen[1] and len(rows) == pieces.count()
+    by_batch = {}
+    for r in rows:
+        by_batch.setdefault(r.batch, []).append(r)
+    assert sorted(by_batch) == list(range(len(by_batch)))
+    short = []
+    for batch in sorted(by_batch):
+        held = by_batch[batch]
+        assert sorted(r.place for r in held) == list(range(len(held))) and len({r.length for r in held}) == 1
+        if len(held) < max(1, tokens // held[0].length):
+            short.append(held[0].length)
+        assert len(held) <= max(1, tokens // held[0].length)
+    lengths = [by_batch[b][0].length for b in sorted(by_batch)]
+    assert lengths == sorted(lengths) and len(short) == len(set(short))
+
+
+def test_batches_of_no_pieces(spark):
+    assert batches(pack(frame(spark).where("false"), PATH)).count() == 0
+
+
 def test_lengths_must_be_powers_of_two(spark):
     with pytest.raises(ValueError, match="power of two"):
         pack(frame(spark), PATH, max_length=1000)
