@@ -76,5 +76,20 @@ def test_whole_table_against_brute_force(spark):
     assert got == want and sum(r[1] for r in got) > 5
 
 
+def test_texts_and_scopes_full_of_weak_parts(spark):
+    """100,000 weak parts in a text, with none, one, or one each of the parts they need."""
+    n = 100_000
+    texts = ["user=bob " * n, "user=bob " * n + "token=abcdef12", "user=bob token=abcdef12 " * n, "ssh://h user=b99 " * n]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.base, r.spans) for r in scan_secrets(docs).collect()}
+    assert got[0] == ([], []) and got[3] == ([], [])
+    base, spans = got[1]
+    near = [9 * k for k in range(n) if 9 * k + 8 > 9 * n - SCOPE]
+    assert [s.start for s in base] == [9 * n] and [s.start for s in spans] == [*near, 9 * n]
+    base, spans = got[2]
+    assert [s.start for s in base] == [24 * k + 9 for k in range(n)]
+    assert [s.start for s in spans] == [24 * k + d for k in range(n) for d in (0, 9)]
+
+
 def test_empty_table(spark):
     assert secret_report(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
