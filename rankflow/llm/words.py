@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 LONG_WORD = 1000
 
 _SPACE = np.zeros(256, dtype=bool)
