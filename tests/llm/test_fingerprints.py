@@ -10,12 +10,14 @@ from rankflow.llm.fingerprints import (
     K, compare_with_next, containment, distinct_shingles, edited, fingerprints, likeness, merge_sketches, resemblance,
     sketches,
 )
-from rankflow.llm.words import hashed_words, shingle_sets
+from rankflow.llm.words import LONG_WORD, hashed_words, shingle_sets
 from tests.conftest import TESTDATA
 
 
 def shingles(text, width=5):
+    """Of texts with blanks; each character of a very long word is a word."""
     words = [w for w in "".join(" " if c in "\t\n\r\x0b\x0c" else c for c in text.lower()).split(" ") if w]
+    words = [part for w in words for part in (w if len(w.encode()) > LONG_WORD else [w])]
     if len(words) < width:
         return {tuple(words)} if words else set()
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
