@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rankflow.llm.components import connected_components
 from rankflow.llm.names import free_names
 from rankflow.llm.words import WIDTH, blocks, hashed_shingles, mix, shingle_sets
+from rankflow.llm.workers import lean
 from rankflow.operators.joins import join_ranked
 from rankflow.sources.workspace import stored
 
@@ -95,7 +96,7 @@ def _signatures(rows: DataFrame, bands: int, keep: int, width: int) -> DataFrame
                 )
 
     schema = "doc_id bigint, mark bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -103,11 +104,15 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.astype(np.int64) for s in shingle_sets(batch.column(2), width)]
-            columns = [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "class_size", "shingles"])
+            first = 0
+            for block in blocks(batch.column(2)):
+                part = batch.slice(first, len(block))
+                first += len(block)
+                sets = [s.astype(np.int64) for s in shingle_sets(block, width)]
+                columns = [part.column(0), part.column(1), pa.array(sets, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "class_size", "shingles"])
 
-    return rows.select("node", "class_size", "text").mapInArrow(run, "node bigint, class_size bigint, shingles array<bigint>")
+    return rows.select("node", "class_size", "text").mapInArrow(lean(run), "node bigint, class_size bigint, shingles array<bigint>")
 
 
 def _addressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -239,7 +244,7 @@ def _linked(block_pairs: DataFrame, threshold: float) -> DataFrame:
             yield result()
 
     dealt = block_pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return dealt.mapInArrow(run, "node bigint, links bigint, nearest bigint")
+    return dealt.mapInArrow(lean(run), "node bigint, links bigint, nearest bigint")
 
 
 def similar_classes(

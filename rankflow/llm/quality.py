@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 
 from rankflow.llm.names import free_names
 from rankflow.llm.words import blocks, hash_spans, text_bytes, word_spans
+from rankflow.llm.workers import lean
 
 FORMS, SHAPES, SIZE, WINDOW = 6144, 2048, 32, 2
 #: Labelled rows used for training at most, those with the smallest hashes of their ids.
 MAX_LABELS = 20_000
+#: Bytes of texts whose word vectors are laid out together.
+POOLED_BYTES = 1 << 19
 _ROWS = FORMS + SHAPES
 _SEED = 99
 
@@ -64,17 +67,13 @@ def _add_contexts(texts: pa.Array, sums: np.ndarray, plus: np.ndarray, minus: np
     """Add the index vectors of the words within the window to the rows of each word."""
     forms, shapes, bounds = _words(texts)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    up, down = [], []
     for apart in range(1, WINDOW + 1):
         near = np.flatnonzero(text[apart:] == text[:-apart])
         for target, source in ((near, near + apart), (near + apart, near)):
             for rows in (forms[target], shapes[target]):
                 for others in (forms[source], shapes[source]):
-                    up.append(rows * SIZE + plus[others])
-                    down.append(rows * SIZE + minus[others])
-    if up and sum(map(len, up)):
-        sums += np.bincount(np.concatenate(up), minlength=sums.size)
-        sums -= np.bincount(np.concatenate(down), minlength=sums.size)
+                    sums += np.bincount(rows * SIZE + plus[others], minlength=sums.size)
+                    sums -= np.bincount(rows * SIZE + minus[others], minlength=sums.size)
 
 
 def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -91,7 +90,7 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(table[used, i]) for i in range(SIZE)]], ["row", *names])
 
     rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parts = rows.mapInArrow(run, "row bigint, " + ", ".join(f"{n} bigint" for n in names))
+    parts = rows.mapInArrow(lean(run), "row bigint, " + ", ".join(f"{n} bigint" for n in names))
     return parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
 
 
@@ -107,7 +106,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Features of each text: mean vectors of forms and shapes, and the logarithm of the number of words."""
     out = []
-    for block in blocks(texts):
+    for block in blocks(texts, POOLED_BYTES):
         forms, shapes, bounds = _words(block)
         counts = np.diff(bounds)
         features = np.zeros((len(counts), 2 * SIZE + 1), dtype=np.float32)
@@ -234,7 +233,7 @@ def fit_quality(
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     rows = rows.join(F.broadcast(known), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    sample = sorted(rows.mapInArrow(run, f"id {kind}, label int, x binary").collect(), key=lambda r: r[0])
+    sample = sorted(rows.mapInArrow(lean(run), f"id {kind}, label int, x binary").collect(), key=lambda r: r[0])
     x = np.array([np.frombuffer(r[2], dtype=np.float32) for r in sample]).reshape(-1, 2 * SIZE + 1)
     y = np.array([r[1] for r in sample], dtype=np.float64)
     mixed = np.random.default_rng(_SEED).permutation(len(y))
@@ -247,9 +246,13 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
         raise ValueError(f"docs already has a column {score_col}")
     vectors, network = model.vectors, model.network
 
+    def probabilities(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(network.probability(pooled(texts, vectors).astype(np.float64)))
+
     @F.arrow_udf("double")
-    def probability(texts: pa.Array) -> pa.Array:
-        return pa.array(network.probability(pooled(texts, vectors).astype(np.float64)))
+    def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from lean(probabilities)(batches)
 
     return docs.withColumn(score_col, probability(F.coalesce(F.col(text_col), F.lit(""))))
 

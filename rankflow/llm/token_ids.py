@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.llm.workers import kept, lean
+
 #: Words kept by a worker: recurring ones, and ones met once (about 150 MB); bytes of a word that is still kept.
 RECURRING_WORDS, NEW_WORDS = 500_000, 400_000
 CACHED_WORD = 64
@@ -137,14 +139,9 @@ class WordEncoder:
         return made
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    """One for each worker process and file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """One for each worker process and file, kept between tasks that encode."""
+    return kept(f"words of {path}", lambda: WordEncoder(path))
 
 
 def slices(batch: pa.RecordBatch, text: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -177,4 +174,4 @@ def token_ids(
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary()), counts], [id_col, "ids", "n_tokens"])
 
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary, n_tokens bigint")
+    return rows.mapInArrow(lean(run, keeps=True), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary, n_tokens bigint")

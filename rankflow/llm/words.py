@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 21
+#: Bytes of texts that are cut into words together, and bytes of words that are hashed together.
+BLOCK_BYTES, HASH_BYTES = 1 << 21, 1 << 18
 LONG_WORD = 1000
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -109,7 +110,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     out, first = np.zeros(len(starts), dtype=np.uint64), 0
     while first < len(starts):
         base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + HASH_BYTES, side="right")))
         block = data[base : ends[last - 1]].astype(np.uint64) + np.uint64(1)
         up, down = _powers(len(block))
         sums = np.zeros(len(block) + 1, dtype=np.uint64)
