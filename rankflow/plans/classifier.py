@@ -35,6 +35,9 @@ DEFAULT_FOLDS = 10
 #: Rows of a partition while forests are grown; a fit of fewer rows is one task at a time.
 ROWS_PER_TASK = 50_000
 
+#: Tasks that wait for each core while forests are grown: between two passes a fit leaves its cores to others.
+TASKS_PER_CORE = 4
+
 #: Values of a label beyond which an indexer is not fitted.
 MAX_CLASSES = 100
 
@@ -167,6 +170,15 @@ def fold_table(data: DataFrame, label_col: str, fold_of: str, folds: int, rows_p
     return rows.repartition(parts, "_mark").sortWithinPartitions("_mark").drop("_mark")
 
 
+def fits_at_once(cores: int, partitions: int) -> int:
+    """Fits that together have ``TASKS_PER_CORE`` tasks for each core, at most one a core.
+
+    There are at least two, so that one works while the other waits for the driver; a fit keeps its rows with the weights of all trees,
+    so of large tables no more than two are held.
+    """
+    return max(min(2, cores), min(cores, -(-TASKS_PER_CORE * cores // partitions)))
+
+
 def fit_cross_validated(
     data: DataFrame,
     label_col: str,
@@ -177,8 +189,7 @@ def fit_cross_validated(
 ) -> GridSearch:
     """Forest with the best mean area under ROC over the folds (the first of equal ones), refitted on all rows.
 
-    One kept table serves all fits. As many run at once as the cores have room for, when each takes a core for every
-    partition. The search runs inside the JVM: wrapping a forest in Python object by object takes longer than growing a small
+    One kept table serves all fits, of which ``fits_at_once`` run side by side. The search runs inside the JVM: wrapping a forest in Python object by object takes longer than growing a small
     one. Folds without rows are left out.
     """
     forest = RandomForestClassifier(labelCol=label_col, featuresCol="Features", seed=SEED)
@@ -197,7 +208,7 @@ def fit_cross_validated(
             numFolds=len(used),
             foldCol="fold",
             seed=SEED,
-            parallelism=parallelism or max(1, rows.sparkSession.sparkContext.defaultParallelism // rows.rdd.getNumPartitions()),
+            parallelism=parallelism or fits_at_once(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()),
         )
         found = search._to_java().fit(rows.withColumn("fold", dense.cast("int"))._jdf)
     finally:

@@ -20,7 +20,7 @@ from rankflow.plans import (
     submit_passengers,
 )
 from rankflow.operators.ordering import label_order, with_label_order
-from rankflow.plans.classifier import DEFAULT_FOLDS, check_categories, fold_table
+from rankflow.plans.classifier import DEFAULT_FOLDS, check_categories, fits_at_once, fold_table
 from rankflow.sources import PASSENGER_SCHEMA, without_fields
 from tests.conftest import TESTDATA
 
@@ -176,3 +176,9 @@ def test_forest_on_real_labels_searches_the_whole_grid(spark, monkeypatch):
     monkeypatch.setattr(queries, "classify", search)
     queries.rf_predict(spark, f"{TESTDATA}/sf0.001")
     assert called == [(DEFAULT_GRID, DEFAULT_FOLDS)]
+
+
+def test_fits_share_the_cores(spark):
+    """One fit at a time leaves its cores idle between its passes; ten partitions on twelve cores used to be searched so."""
+    assert [fits_at_once(12, partitions) for partitions in (1, 4, 10, 58, 400)] == [12, 12, 5, 2, 2]
+    assert fits_at_once(1, 1) == fits_at_once(1, 50) == 1
