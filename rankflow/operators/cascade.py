@@ -190,14 +190,25 @@ def match_lists(
     return kept.select(id_col, "_place", "_items")
 
 
-def merge_lists(matched: DataFrame, id_col: str, item: str, fallback: Column, k: int = 5) -> DataFrame:
+def merge_lists(
+    matched: DataFrame, id_col: str, item: str, fallback: Column, k: int = 5, dedupe: bool = False
+) -> DataFrame:
     """``union_rerank`` and ``ordered_lists`` in one, over ``match_lists``: ``id, items``.
 
     Items go by place of their rule, then rank, then item. An id may have any number of rows,
     and its first ``k`` by place and first item are enough: each brings at least one item, and
     of rows of the same place that do not all fit, the first items come before all second ones.
-    So what is collected per id is bounded.
+    So what is collected per id is bounded. With ``dedupe`` rows may bring the same items, so all count:
+    ``_distinct_found`` collects what differs.
     """
+    found = _distinct_found(matched, id_col, k) if dedupe else _first_found(matched, id_col, k)
+    lists = found.select(id_col, "_found", fallback.alias("_more"))
+    own = _own_or_fallback("_found", "_more")
+    every = F.array_distinct(F.concat(own, "_more"))
+    return lists.select(id_col, (first_items(every, k) if dedupe else pad_items(own, "_more", k)).alias(item))
+
+
+def _first_found(matched: DataFrame, id_col: str, k: int) -> DataFrame:
     first = F.try_element_at("_items", F.lit(1))
     order = [F.col("_items").isNull().asc(), F.asc("_place"), first.asc()]
     kept = top_k_per_group(matched, [id_col], order, k, "_nth")
@@ -205,7 +216,20 @@ def merge_lists(matched: DataFrame, id_col: str, item: str, fallback: Column, k:
         "_items", lambda x, i: F.struct(F.col("_place"), i.alias("rank"), x.alias("item"))
     )
     lists = kept.select(id_col, ranked.alias("ranked")).groupBy(id_col)
-    found = lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("_found"))
-    return found.select(id_col, "_found", fallback.alias("_more")).select(
-        id_col, pad_items(_own_or_fallback("_found", "_more"), "_more", k).alias(item)
-    )
+    return lists.agg(F.sort_array(F.flatten(F.collect_list("ranked")))["item"].alias("_found"))
+
+
+def _distinct_found(matched: DataFrame, id_col: str, k: int) -> DataFrame:
+    """``id, _found``: the first ``k`` distinct items by place, rank and item.
+
+    One set per rank holds places and items, so repeats collapse before the shuffle, and an id with many rows
+    holds no more than each item once per rule and rank. A list stays one row until then.
+    """
+
+    def entry(rank: int) -> Column:
+        value = F.get("_items", F.lit(rank))
+        return F.when(value.isNotNull(), F.struct(F.col("_place"), F.lit(rank).alias("rank"), value.alias("item")))
+
+    sets = matched.groupBy(id_col).agg(*[F.collect_set(entry(rank)).alias(f"_set{rank}") for rank in range(k)])
+    ordered = F.sort_array(F.concat(*[f"_set{rank}" for rank in range(k)]))
+    return sets.select(id_col, first_items(F.array_distinct(ordered["item"]), k).alias("_found"))

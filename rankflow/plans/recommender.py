@@ -9,14 +9,8 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.arrays import join_items
 from rankflow.functions.columns import booking_weight, in_year, scaled_key
-from rankflow.operators.cascade import (
-    match_lists,
-    match_rules,
-    merge_lists,
-    ordered_lists,
-    union_rerank,
-)
-from rankflow.operators.topk import Rule, rule_candidates, rule_lists
+from rankflow.operators.cascade import match_lists, merge_lists
+from rankflow.operators.topk import Rule, rule_lists
 from rankflow.sources.audit import read_clean
 from rankflow.sources.schemas import interaction_schema
 from rankflow.sources.sinks import write_csv
@@ -46,18 +40,13 @@ def recommend(
     a rule without keys. One join matches requests to candidate lists, one shuffle by id merges
     the matches. Requests that no rule matched come out of the same join, so there is no set
     difference. Items may repeat, within the rules' matches and from padding; ``dedupe``
-    prevents that, at the price of matching item by item.
+    prevents that.
     """
     all_rules = [Rule(keys=(), weight=popular_weight), *rules]
     lists = rule_lists(train, all_rules, item, k, first_number=0)
     popular = _global_list(lists)
-    if not dedupe:
-        return merge_lists(match_lists(requests, lists, rules, id_col), id_col, item, popular, k)
-    table = rule_candidates(train, all_rules, item, k, first_number=0)
-    hits = match_rules(requests, table, rules, id_col, item, k)
-    best = hits.groupBy(id_col, item).agg(F.min("rn").alias("rn"))
-    ranked = union_rerank([best], id_col, item, k)
-    return ordered_lists(ranked, id_col, item, popular, k, dedupe=True)
+    matched = match_lists(requests, lists, rules, id_col)
+    return merge_lists(matched, id_col, item, popular, k, dedupe)
 
 
 def _global_list(lists: DataFrame) -> Column:

@@ -222,3 +222,29 @@ def test_published_lists(spark, sf):
         train, requests, cascade, booking_weight("is_booking", 5), id_col="id", item="item"
     ).select("id", join_items("item"))
     assert dict(map(tuple, lists.orderBy("id").limit(3).collect())) == first
+
+
+def test_distinct_lists_keep_lists_whole_until_they_are_merged(spark, conf):
+    """Matches used to become a row per item before repeats were dropped, in a hash table of every id and item."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    lists = recommend(
+        roles.training(spark, f"{TESTDATA}/sf0.001"), roles.requests(spark, f"{TESTDATA}/sf0.001"), roles.rules(),
+        roles.popular_weight(), id_col="id", item="item", dedupe=True,
+    )
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" in plan and "HashAggregate(keys=[id#" not in plan.replace("ObjectHashAggregate", "")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_distinct_lists_of_repeated_ids(spark, seed):
+    """Ids that ask many times, null ones too, with lists that share their first items."""
+    train, asked = tables(seed, n_requests=150)
+    asked = [(None if i % 15 == 0 else i % 15, c, d) for i, c, d in asked]
+    train_df, asked_df = spark.createDataFrame(train, TRAIN), spark.createDataFrame(asked, REQUESTS)
+    got = recommend(train_df, asked_df, rules(), popular_weight(), id_col="id", item="item", k=3, dedupe=True)
+    ranked = rule_candidates(train_df, rules(), "item", 3)
+    best = match_rules(asked_df, ranked, rules(), "id", "item", 3).groupBy("id", "item").agg(F.min("rn").alias("rn"))
+    top = popular_list(train_df, "item", popular_weight(), 3)
+    expected = ordered_lists(union_rerank([best], "id", "item", 3), "id", "item", top, 3, dedupe=True)
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
