@@ -167,13 +167,14 @@ def match_rules(
 ) -> DataFrame:
     """All rules of ``rule_candidates`` matched in one join: ``id, item, rn``.
 
-    ``rn`` is the rank times ``rank_step(k)`` per earlier rule. Every id keeps at least one row;
-    where a rule found nothing, item and rank are null.
+    ``rn`` is the rank times ``rank_step(k)`` per earlier rule. Every request keeps at least one row:
+    where the first rule found nothing, item and rank are null. Other rules without a match leave no row.
     """
     asked = ask_rules(requests, rules, id_col)
     joined = join_ranked(asked, table, ["rule", *key_types(requests, rules)], "left")
+    kept = joined.where(F.col("rn").isNotNull() | (F.col("_place") == 1))
     rank = F.col("rn") * F.pow(F.lit(rank_step(k)), F.col("_place") - 1).cast("bigint")
-    return joined.select(id_col, item, F.when(F.col("rn").isNotNull(), rank).alias("rn"))
+    return kept.select(id_col, item, F.when(F.col("rn").isNotNull(), rank).alias("rn"))
 
 
 def match_lists(

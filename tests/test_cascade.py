@@ -248,3 +248,11 @@ def test_distinct_lists_of_repeated_ids(spark, seed):
     top = popular_list(train_df, "item", popular_weight(), 3)
     expected = ordered_lists(union_rerank([best], "id", "item", 3), "id", "item", top, 3, dedupe=True)
     assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_only_the_first_rule_leaves_a_row_without_a_match(spark):
+    """Each rule without a match used to leave a row to sort and shuffle."""
+    train = spark.createDataFrame([(1, "a", 7, 0, True)], TRAIN)
+    asked = spark.createDataFrame([(1, 1, "zz"), (2, 5, "zz"), (3, 1, "a")], REQUESTS)
+    hits = match_rules(asked, rule_candidates(train, rules(), "item"), rules(), "id", "item")
+    assert sorted(hits.collect(), key=str) == [(1, 7, 10), (1, None, None), (2, None, None), (3, 7, 1), (3, 7, 10), (3, 7, 100)]
