@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.columns import with_default
@@ -21,6 +24,7 @@ from rankflow.operators.ordering import label_order, with_label_order
 from rankflow.sources.audit import read_clean
 from rankflow.sources.schemas import PASSENGER_SCHEMA, without_fields
 from rankflow.sources.sinks import write_csv
+from rankflow.sources.workspace import new_folder, remove_folder
 
 SEED = 42
 
@@ -179,6 +183,70 @@ def fits_at_once(cores: int, partitions: int) -> int:
     return max(min(2, cores), min(cores, -(-TASKS_PER_CORE * cores // partitions)))
 
 
+def forest_nodes(model: RandomForestClassificationModel, spark: SparkSession) -> list[dict[int, Row]]:
+    """The nodes of each tree by number, as Spark saves them. A grid bounds their number."""
+    path = new_folder(spark, "forest")
+    try:
+        model.write().save(path)
+        trees = [{} for _ in range(model.getNumTrees)]
+        for tree, node in spark.read.parquet(path + "/data").select("treeID", "nodeData").collect():
+            trees[tree][node.id] = node
+    finally:
+        remove_folder(spark, path)
+    return trees
+
+
+def shares_at_depth(nodes: Mapping[int, Row], depth: int) -> list[float]:
+    """For each leaf of a tree, from left to right: the share of class 1 in the leaf of the same tree grown to ``depth`` only.
+
+    Trees grow level by level, so the shallower one is the top of the deeper one. Two leaves of one prediction are one there, as in Spark's trees.
+    """
+
+    def share(node: Row) -> float:
+        total = sum(node.impurityStats)
+        return node.impurityStats[1] / total if total else 0.0
+
+    def cut(number: int, level: int) -> tuple[float | None, list[float]]:
+        node = nodes[number]
+        if node.leftChild < 0:
+            return node.prediction, [share(node)]
+        (left, lefts), (right, rights) = cut(node.leftChild, level + 1), cut(node.rightChild, level + 1)
+        if level >= depth:
+            return node.prediction, [share(node)] * len(lefts + rights)
+        if left is not None and left == right:
+            return left, [share(node)] * len(lefts + rights)
+        return None, lefts + rights
+
+    return cut(0, 0)[1]
+
+
+def score_at_depth(trees: Sequence[Mapping[int, Row]], depth: int) -> Column:
+    """Class 1 of the raw prediction of a forest grown to ``depth``, from the column ``leaf`` of the deeper one; summed tree by tree as Spark does."""
+    shares = F.from_json(F.lit(json.dumps([shares_at_depth(nodes, depth) for nodes in trees])), "array<array<double>>")
+    found = F.zip_with(vector_to_array("leaf"), shares, lambda leaf, tree: F.get(tree, leaf.cast("int")))
+    return F.aggregate(found, F.lit(0.0), lambda total, x: total + x)
+
+
+def metrics_by_depth(
+    forest: RandomForestClassifier, train: DataFrame, valid: DataFrame, depths: Sequence[int]
+) -> dict[int, float]:
+    """Area under ROC on ``valid`` for forests of each depth. Only the deepest is grown; the others are its upper levels."""
+    label = forest.getLabelCol()
+    deepest = max(depths)
+    model = forest.copy({forest.maxDepth: deepest}).fit(train)
+    metrics = {deepest: BinaryClassificationEvaluator(labelCol=label, numBins=0).evaluate(model.transform(valid))}
+    reached = max(tree.depth for tree in model.trees)
+    metrics |= {depth: metrics[deepest] for depth in depths if depth >= reached}  # the same forest
+    upper = set(depths) - metrics.keys()
+    if upper:
+        trees = forest_nodes(model, train.sparkSession)
+        leaves = model.setLeafCol("leaf").transform(valid)
+        evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="score", numBins=0)
+        for depth in upper:
+            metrics[depth] = evaluator.evaluate(leaves.select(label, score_at_depth(trees, depth).alias("score")))
+    return metrics
+
+
 def fit_cross_validated(
     data: DataFrame,
     label_col: str,
@@ -189,32 +257,41 @@ def fit_cross_validated(
 ) -> GridSearch:
     """Forest with the best mean area under ROC over the folds (the first of equal ones), refitted on all rows.
 
-    One kept table serves all fits, of which ``fits_at_once`` run side by side. The search runs inside the JVM: wrapping a forest in Python object by object takes longer than growing a small
-    one. Folds without rows are left out.
+    One kept table serves all fits, of which ``fits_at_once`` run side by side. Points that differ in depth alone share one fit a fold
+    (``metrics_by_depth``). Folds without rows are left out.
     """
     forest = RandomForestClassifier(labelCol=label_col, featuresCol="Features", seed=SEED)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(forest.getParam(name), list(values))
-    points = builder.build()
+    points = [{p.name: v for p, v in point.items()} for point in builder.build()]
+    depth_of = [point.get("maxDepth", forest.getMaxDepth()) for point in points]
+    others = [tuple((n, v) for n, v in point.items() if n != "maxDepth") for point in points]
+    depths: dict[tuple, list[int]] = {}
+    for other, depth in zip(others, depth_of, strict=True):
+        depths.setdefault(other, []).append(depth)
     rows = fold_table(data, label_col, fold_of, folds).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         used = [r.fold for r in rows.select("fold").distinct().orderBy("fold").collect()]  # at most ``folds``
-        dense = F.array_position(F.array(*[F.lit(f) for f in used]), F.col("fold")) - 1
-        search = CrossValidator(
-            estimator=forest,
-            estimatorParamMaps=points,
-            evaluator=BinaryClassificationEvaluator(labelCol=label_col, numBins=0),
-            numFolds=len(used),
-            foldCol="fold",
-            seed=SEED,
-            parallelism=parallelism or fits_at_once(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()),
-        )
-        found = search._to_java().fit(rows.withColumn("fold", dense.cast("int"))._jdf)
+        if len(used) < 2:
+            raise ValueError("a search needs rows in at least two folds")
+
+        def search(task: tuple[int, tuple]) -> dict[int, float]:
+            fold, other = task
+            apart = forest.copy({forest.getParam(n): v for n, v in other})
+            return metrics_by_depth(apart, rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold), depths[other])
+
+        tasks = [(fold, other) for fold in used for other in depths]
+        spark = rows.sparkSession
+        at_once = parallelism or fits_at_once(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+        with ThreadPoolExecutor(at_once) as pool:
+            found = dict(zip(tasks, pool.map(inheritable_thread_target(spark)(search), tasks), strict=True))
+        means = [sum(found[fold, other][depth] for fold in used) / len(used) for other, depth in zip(others, depth_of, strict=True)]
+        best = points[means.index(max(means))]
+        model = forest.copy({forest.getParam(n): v for n, v in best.items()}).fit(rows)
     finally:
         rows.unpersist()
-    best = RandomForestClassificationModel._from_java(found.bestModel())
-    return GridSearch([{p.name: v for p, v in point.items()} for point in points], list(found.avgMetrics()), best)
+    return GridSearch(points, means, model)
 
 
 def classify(

@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,3 +184,35 @@ def test_fits_share_the_cores(spark):
     """One fit at a time leaves its cores idle between its passes; ten partitions on twelve cores used to be searched so."""
     assert [fits_at_once(12, partitions) for partitions in (1, 4, 10, 58, 400)] == [12, 12, 5, 2, 2]
     assert fits_at_once(1, 1) == fits_at_once(1, 50) == 1
+
+
+@pytest.mark.parametrize("categorical", [("c", "d"), ()])
+def test_depths_share_a_fit(spark, monkeypatch, categorical):
+    """The metrics of Spark's cross-validator to the last bit, with one fit a fold for all depths; it used to be one for each."""
+    rng = random.Random(5)
+    rows = [(i, str(int(rng.random() < (0.2 + 0.1 * (i % 7)))), rng.random(), i % 40, f"c{i % 7}", f"d{rng.randrange(20)}") for i in range(3000)]
+    train = spark.createDataFrame(rows, "id int, label string, x double, y int, c string, d string")
+    spec = FeatureSpec(id="id", label="label", numeric=("x", "y"), categorical=categorical)
+    vectors = index_label(train, spec).transform(index_features(train, train, spec, 25).transform(train))
+    grid = {"maxBins": [25], "maxDepth": [2, 7, 4], "impurity": ["entropy", "gini"]}
+    forest = RandomForestClassifier(labelCol="labelIndexed", featuresCol="Features", seed=42)
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(forest.getParam(name), values)
+    evaluator = BinaryClassificationEvaluator(labelCol="labelIndexed", numBins=0)
+    table = fold_table(vectors, "labelIndexed", "id", 3)
+    search = CrossValidator(estimator=forest, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=3, foldCol="fold", parallelism=8)
+    expected = search._to_java().fit(table._jdf)
+    fit, grown = RandomForestClassifier.fit, []
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, *args: grown.append(self.getMaxDepth()) or fit(self, *args))
+    found = fit_cross_validated(vectors, "labelIndexed", "id", grid, folds=3)
+    assert found.avgMetrics == list(expected.avgMetrics()) and len(set(found.avgMetrics)) > 3
+    assert grown == [7] * 6 + [found.best_point["maxDepth"]]
+    trees = [m.toDebugString().split("\n", 1)[1] for m in (found.best._java_obj, expected.bestModel())]
+    assert trees[0] == trees[1]
+
+
+def test_a_search_needs_two_folds(spark):
+    data = spark.createDataFrame([(1, 1.0)], "id int, label double").select("*", F.lit(0.0).alias("Features"))
+    with pytest.raises(ValueError, match="two folds"):
+        fit_cross_validated(data, "label", "id", SMALL_GRID, folds=3)
